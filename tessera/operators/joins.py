@@ -59,7 +59,7 @@ def join_on_date_string(left: DataFrame, right: DataFrame, left_date: str, right
     plan as a hash or broadcast join instead of a cast inside a theta join.
     """
     key = "__join_date"
-    r = right.withColumn(key, F.try_to_date(F.col(right_text), F.lit(fmt)))
+    r = right.withColumn(key, F.try_to_date(F.col(right_text), fmt))
     if right_max_rows:
         r = bounded_broadcast(r, right_max_rows)
     out = left.join(r, F.col(left_date).cast("date") == r[key], how)

@@ -42,3 +42,9 @@ def load_all() -> None:
 
     for m in pkgutil.iter_modules(bindings.__path__):
         importlib.import_module(f"tessera.plans.bindings.{m.name}")
+
+
+def sround(expr: str, digits: int) -> str:
+    """DuckDB expression rounding a DOUBLE the way Spark's ``round`` does
+    (HALF_UP on the shortest decimal text of the double)."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
