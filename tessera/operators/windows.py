@@ -200,3 +200,20 @@ def extreme_moves(df: DataFrame, date_col: str, price_col: str, k: float = 2.0,
         j = r.join(stats, keys, "inner")
     j = j.withColumn("z", (F.col("daily_return") - F.col("mean_return")) / F.col("sd_return"))
     return j.where(F.abs(F.col("z")) > F.lit(k))
+
+
+def index_in_partition_order(df: DataFrame, out: str = "row_index", start: int = 1) -> DataFrame:
+    """Consecutive index in the current partition order, without a shuffle of
+    the data (P6 when no order is given). Deterministic when the input order
+    is (e.g. a file scan); use :func:`global_index` for a defined order."""
+    tagged = (df.withColumn(_PID, F.spark_partition_id().cast("long"))
+                .withColumn(_MID, F.monotonically_increasing_id())
+                .withColumn(_LOCAL, F.col(_MID) - F.shiftleft(F.col(_PID), 33)))
+    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    offsets = counts.select(
+        _PID,
+        F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias(_OFF))
+    res = tagged.join(F.broadcast(offsets), _PID, "inner")
+    return res.withColumn(out, (F.col(_OFF) + F.col(_LOCAL) + F.lit(start)).cast("long")).drop(
+        _PID, _MID, _LOCAL, _OFF)
