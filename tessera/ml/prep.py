@@ -425,3 +425,44 @@ def column_transformer(branches: Sequence[tuple[Sequence[str], Sequence]], remai
     if remainder == "drop":
         stages.append(SelectColumns(drop=[c for c in (all_columns or []) if c not in used]))
     return Pipeline(stages=stages)
+
+
+# ------------------------------------------------------------------ M3
+class KNNImputerModel(ColumnsModel):
+    idCol = Param(Params._dummy(), "idCol", "unique row key", TypeConverters.toString)
+    k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
+    blockRows = Param(Params._dummy(), "blockRows", "rows per block", TypeConverters.toInt)
+
+    def _transform(self, df):
+        from tessera.ml.knn import knn_impute
+        st = self.getState()
+        return knn_impute(df, st["donors_path"], self.getInputCols(), self.getOrDefault(self.idCol),
+                          self.getOrDefault(self.k), st["means"], self.getOrDefault(self.blockRows))
+
+
+class KNNImputer(ColumnsEstimator):
+    """``KNNImputer(n_neighbors=k, weights='distance')`` (M3), exact.
+
+    Fitting stores the donor rows (the fit data) as a table in the shared
+    checkpoint folder plus the column means (the fallback when no donor
+    shares a coordinate). Transforming runs the blocked search of
+    :mod:`tessera.ml.knn`; it is quadratic by nature (every receiver meets
+    every donor) but streams bounded blocks and never emits all pairs.
+    """
+
+    idCol = Param(Params._dummy(), "idCol", "unique row key", TypeConverters.toString)
+    k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
+    blockRows = Param(Params._dummy(), "blockRows", "rows per block", TypeConverters.toInt)
+    model_class = KNNImputerModel
+
+    def __init__(self, inputCols=None, idCol="id", k=5, blockRows=5000):
+        super().__init__(inputCols=inputCols, idCol=idCol, k=k, blockRows=blockRows)
+
+    def _stats(self, df, cols):
+        import uuid
+
+        from tessera.session import scratch_path
+        path = scratch_path(df.sparkSession, f"knn-donors-{uuid.uuid4().hex[:12]}")
+        df.select(*[_present(df, c).cast("double").alias(c) for c in cols]).write.mode("overwrite").parquet(path)
+        row = _one_row(df, [F.avg(_present(df, c)).alias(c) for c in cols])
+        return {"donors_path": path, "means": {c: row[c] for c in cols}}

@@ -316,3 +316,23 @@ def m36_model_comparison(spark, d):
     for name, s in (("linear", s1), ("polynomial degree 2", s2)):
         rows += [(name, "Train", s["mean_train"]), (name, "Test", s["mean_test"]), (name, "Gap", s["gap"])]
     return MD.comparison_table(spark.createDataFrame(rows, "model string, metric string, value double"))
+
+
+@query("m3_knn_impute")
+def m3_knn_impute(spark, d):
+    from tessera.operators.windows import global_index
+    df = data(spark, d)
+    df = global_index(df, KEYS + NUMS + ["grade", "target"], out="rid")  # a unique key; no row dropped
+    out = PR.KNNImputer(inputCols=NUMS, idCol="rid", k=5).fit(df).transform(df)
+    return out.select(*KEYS, *[F.round(c, 4).alias(c) for c in NUMS])
+
+
+@query("u3_function_step_in_pipeline", f"""SELECT p_partkey, {sround('(p_retailprice / p_size - (SELECT avg(p_retailprice / p_size) FROM part)) / (SELECT stddev_pop(p_retailprice / p_size) FROM part)', 6)} AS unit_price FROM part""")
+def u3_function_step_in_pipeline(spark, d):
+    from pyspark.ml import Pipeline
+
+    from tessera.ml.base import FunctionTransformer
+    step = FunctionTransformer(lambda df: df.select("p_partkey", (F.col("p_retailprice") / F.col("p_size")).alias("unit_price")))
+    pipe = Pipeline(stages=[step, PR.Standardizer(inputCols=["unit_price"])])
+    p = table(spark, d, "part")
+    return pipe.fit(p).transform(p).select("p_partkey", F.round("unit_price", 6).alias("unit_price"))

@@ -173,3 +173,17 @@ def p9_replace_sentinel(spark, d):
     o = table(spark, d, "orders").select(
         "o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", F.lit(-1.0)).otherwise(F.col("o_totalprice")).alias("raw"))
     return P.replace_sentinel(o.withColumn("price", F.col("raw")), "price", -1, F.lit(0.0))
+
+
+@query("a13_row_count_snapshot", "SELECT count(*) AS total_rows, true AS has_timestamp FROM orders")
+def a13_row_count_snapshot(spark, d):
+    snap = agg.row_count_snapshot(table(spark, d, "orders"))
+    return snap.select("total_rows", F.col("snapshot_ts").isNotNull().alias("has_timestamp"))
+
+
+@query("f3_strip_thousands", """SELECT o_orderkey, TRY_CAST(replace(format('{:,.2f}', o_totalprice * 10), ',', '') AS DOUBLE) AS price
+    FROM orders""")
+def f3_strip_thousands(spark, d):
+    from tessera.functions.text import strip_thousands
+    o = table(spark, d, "orders").select("o_orderkey", F.format_number(F.col("o_totalprice") * 10, 2).alias("txt"))
+    return o.select("o_orderkey", strip_thousands("txt").alias("price"))

@@ -90,3 +90,16 @@ def test_incremental_load(spark, tmp_dir):
     assert spark.read.parquet(tgt).count() == 2
     totals = sorted(r.Totale_Ricoveri for r in spark.read.parquet(rep).collect())
     assert totals == [1, 2]
+
+
+def test_tables_and_warehouse_load(spark, tmp_dir):
+    from tessera.plans.medallion import apply_mapping, load_to_table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tessera_test LOCATION '{tmp_dir}/db'")
+    names = io.create_tables(spark, "tessera_test")
+    assert "tessera_test.pazienti" in names
+    assert spark.table("tessera_test.sensori_iot").schema == CLINICAL["sensori_iot"]
+    gold = spark.createDataFrame([("2024-01-07", "12.5", "40")], "d string, p string, t string")
+    typed = apply_mapping(gold, [("d", "data", "date"), ("p", "prezzo", "double"), ("t", "indice_google_trend", "int")])
+    load_to_table(typed, "tessera_test.price_fact")
+    load_to_table(typed, "tessera_test.price_fact")
+    assert spark.table("tessera_test.price_fact").count() == 2
