@@ -139,4 +139,5 @@ def extract_records(df: DataFrame, html_col: str, key_cols, container: tuple,
                         out[f].append(r.get(f))
             yield pd.DataFrame(out, columns=keys + ["position"] + names)
 
-    return df.select(*keys, html_col).mapInPandas(run, schema)
+    from tessera.operators.partitioning import spread
+    return spread(df.select(*keys, html_col)).mapInPandas(run, schema)

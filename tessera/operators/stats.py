@@ -15,11 +15,13 @@ Results are small long-form frames: one row per column (or column pair).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.partitioning import spread
 from tessera.operators.windows import global_index
 
 
@@ -29,8 +31,8 @@ def _q(name):
 
 def stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Wide -> long ``(*keep, column, value)`` with value as DOUBLE."""
-    return df.select(*[_q(k) for k in keep], *[_q(c).cast("double").alias(c) for c in cols]).unpivot(
-        list(keep), list(cols), "column", "value")
+    narrow = spread(df.select(*[_q(k) for k in keep], *[_q(c).cast("double").alias(c) for c in cols]))
+    return narrow.unpivot(list(keep), list(cols), "column", "value")
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -49,9 +51,21 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = (0.25, 0.5, 0.75),
-              method: str = "exact", accuracy: int = 10000) -> DataFrame:
+              method: str = "exact", accuracy: int = 10000, buckets: int = 64,
+              window_limit: int = 5_000_000) -> DataFrame:
     """``(column, q, value)``: linear-interpolated quantiles (pandas / DuckDB
-    ``quantile_cont``), NULLs ignored."""
+    ``quantile_cont``), NULL and NaN ignored.
+
+    ``exact`` needs no global sort: approximate bucket edges per column (one
+    aggregation), a Bucketizer, then counts per (column, bucket, value) with
+    partial aggregation (a hot value is one row). Bucket totals (columns x
+    buckets numbers) locate the bucket of every wanted rank, and only those
+    few buckets are ranked exactly: with a window over their distinct values
+    when every such bucket holds at most ``window_limit`` rows, otherwise with
+    the distributed sort (W4) of just those buckets' rows. ``sort`` ranks all values with one global sort (W4); ``approx``
+    is ``percentile_approx``.
+    """
+    cols = list(cols)
     if method == "approx":
         one = df.agg(*[F.percentile_approx(_q(c).cast("double"), list(qs), accuracy).alias(f"p{i}")
                        for i, c in enumerate(cols)])
@@ -59,7 +73,86 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = (0.25, 0
             F.struct(F.lit(c).alias("column"), F.lit(q).alias("q"), F.col(f"p{i}")[j].alias("value"))
             for i, c in enumerate(cols) for j, q in enumerate(qs)]))
         return one.select(rows.alias("r")).select("r.*")
-
+    if method == "sort":
+        return _quantiles_by_sort(df, cols, qs)
+    return _quantiles_by_buckets(df, cols, qs, buckets, min(accuracy, 1000), window_limit)
+
+
+def _wanted_ranks(n: int, qs):
+    out = []
+    for q in qs:
+        h = (n - 1) * q
+        lo = math.floor(h)
+        out.append((q, lo, math.ceil(h), h - lo))
+    return out
+
+
+def _quantiles_by_buckets(df, cols, qs, buckets, accuracy, window_limit):
+    from pyspark.ml.feature import Bucketizer
+    spark = df.sparkSession
+    clean = df.select(*[F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")).alias(f"v{i}")
+                        for i, c in enumerate(cols)])
+    probs = [i / buckets for i in range(1, buckets)]
+    edges_row = clean.agg(*[F.percentile_approx(f"v{i}", probs, accuracy).alias(f"e{i}")
+                            for i in range(len(cols))]).collect()[0]
+    splits = []
+    for i in range(len(cols)):
+        inner = sorted(set(x for x in (edges_row[f"e{i}"] or []) if x is not None))
+        splits.append([-math.inf] + inner + [math.inf])
+    bz = Bucketizer(splitsArray=splits, inputCols=[f"v{i}" for i in range(len(cols))],
+                    outputCols=[f"b{i}" for i in range(len(cols))], handleInvalid="keep")
+    tagged = bz.transform(clean)
+    long = tagged.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ci"), F.col(f"b{i}").cast("int").alias("bucket"), F.col(f"v{i}").alias("value"))
+        for i in range(len(cols))])).alias("x")).select("x.*").where(F.col("value").isNotNull())
+    freq = long.groupBy("ci", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    # bucket totals: at most len(cols) x buckets rows, a bounded driver result
+    totals, sizes = {}, {}
+    for r in freq.groupBy("ci", "bucket").agg(F.sum("n").alias("n")).collect():
+        totals.setdefault(r["ci"], []).append((r["bucket"], r["n"]))
+        sizes[(r["ci"], r["bucket"])] = r["n"]
+    targets = []   # (ci, bucket, q, role, local_rank, frac)
+    for ci, lst in totals.items():
+        lst.sort()
+        n_c = sum(n for _, n in lst)
+        starts, acc = [], 0
+        for b, n in lst:
+            starts.append((b, acc, n))
+            acc += n
+        for q, r_lo, r_hi, frac in _wanted_ranks(n_c, qs):
+            for role, r in (("lo", r_lo), ("hi", r_hi)):
+                for b, s0, n in starts:
+                    if s0 <= r < s0 + n:
+                        targets.append((ci, b, float(q), role, r - s0, frac))
+                        break
+    if not targets:
+        return spark.createDataFrame([], "column string, q double, value double")
+    want = spark.createDataFrame(targets, "ci int, bucket int, q double, role string, lr long, frac double")
+    keys = want.select("ci", "bucket").distinct()
+    if max(sizes[(t[0], t[1])] for t in targets) <= window_limit:
+        from pyspark.sql import Window
+        w = Window.partitionBy("ci", "bucket").orderBy("value")
+        ranked = (freq.join(F.broadcast(keys), ["ci", "bucket"], "left_semi")
+                  .withColumn("c1", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                  .withColumn("c0", F.col("c1") - F.col("n")))
+    else:  # big target buckets: distributed sort of their rows only
+        rows = long.join(F.broadcast(keys), ["ci", "bucket"], "left_semi")
+        idx = global_index(rows, ["ci", "bucket", "value"], out="__i", start=0)
+        first = idx.groupBy("ci", "bucket").agg(F.min("__i").alias("__f"))
+        ranked = idx.join(F.broadcast(first), ["ci", "bucket"]).select(
+            "ci", "bucket", "value", (F.col("__i") - F.col("__f")).alias("c0"),
+            (F.col("__i") - F.col("__f") + 1).alias("c1"))
+    hit = ranked.join(F.broadcast(want), ["ci", "bucket"]).where(
+        (F.col("lr") >= F.col("c0")) & (F.col("lr") < F.col("c1")))
+    per = hit.groupBy("ci", "q").agg(F.max(F.when(F.col("role") == "lo", F.col("value"))).alias("v_lo"),
+                                     F.max(F.when(F.col("role") == "hi", F.col("value"))).alias("v_hi"),
+                                     F.max("frac").alias("frac"))
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("ci") + 1)
+    return per.select(names.alias("column"), "q",
+                      (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+
+
+def _quantiles_by_sort(df, cols, qs):
     long = stack(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     ranked = global_index(long, ["column", "value"], out="__rank", start=0)
     counts = ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("__rank").alias("first"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import ENGLISH
 from tessera.functions.text import word_count
+from tessera.operators.partitioning import spread
 from tessera.operators.windows import top_k_per_group
 
 # A token is a letter/digit/underscore followed by one or more
@@ -35,7 +36,7 @@ def word_stats(df: DataFrame, group: str, text_cols: Sequence[str], id_col: str,
     for c in text_cols:
         wc = word_count(c)
         total = wc if total is None else total + wc
-    w = df.select(group, id_col, total.alias("tot_num_words"))
+    w = spread(df.select(group, id_col, *text_cols)).select(group, id_col, total.alias("tot_num_words"))
     return w.groupBy(group).agg(
         F.count(F.col(id_col)).alias("num_articles"),
         F.round(F.avg("tot_num_words"), digits).alias("avg_num_words"),
@@ -50,7 +51,7 @@ def term_frequencies(df: DataFrame, group: str, text_col: str,
 
     The stop-word list is a bounded constant; the anti-filter is an
     ``isin`` set lookup inside the scan stage."""
-    exploded = df.select(F.col(group), F.explode(tokens(text_col)).alias("term"))
+    exploded = spread(df.select(group, text_col)).select(F.col(group), F.explode(tokens(text_col)).alias("term"))
     kept = exploded.where(~F.col("term").isin(*stop_words))
     counts = kept.groupBy(group, "term").agg(F.count(F.lit(1)).alias("n"))
     if top_k:

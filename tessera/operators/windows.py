@@ -31,7 +31,7 @@ def _num_partitions(df: DataFrame) -> int:
 
 # ---------------------------------------------------------------- W4
 def global_index(df: DataFrame, order_by, out: str = "row_index", start: int = 1,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Consecutive index ``start, start+1, …`` in the order of ``order_by``.
 
     ``order_by`` must be a total order (add a unique tie-breaker), which makes
@@ -50,6 +50,9 @@ def global_index(df: DataFrame, order_by, out: str = "row_index", start: int = 1
     tagged = (ordered.withColumn(_PID, F.spark_partition_id().cast("long"))
                      .withColumn(_MID, F.monotonically_increasing_id())
                      .withColumn(_LOCAL, F.col(_MID) - F.shiftleft(F.col(_PID), 33)))
+    if materialize:
+        from tessera.session import write_table
+        tagged = write_table(tagged.drop(_MID), "global-index").withColumn(_MID, F.lit(0))
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     offsets = counts.select(
         _PID,
