@@ -12,16 +12,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint ``broadcast`` only when ``df`` has at most ``max_rows`` rows.
-
-    The check reads no more than ``max_rows + 1`` rows, so it is cheap on a
-    dimension table and stops early on a large one.
+from pyspark.sql import types as T
+
+
+def row_width(schema: T.StructType) -> int:
+    """Upper estimate of the bytes of one row in a broadcast hash relation:
+    8 per fixed-width field, 64 per string or binary, 256 per nested field."""
+    width = 16
+    for f in schema.fields:
+        dt = f.dataType
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            width += 64
+        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+            width += 256
+        else:
+            width += 8
+    return width
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint ``broadcast`` only when ``df`` provably fits: at most ``max_rows``
+    rows and at most ``max_bytes`` by the schema's row-width estimate.
+
+    The check reads no more than ``limit + 1`` rows, so it is cheap on a
+    dimension table and stops early on a large one, which then keeps a
+    shuffle join (or AQE's own run-time choice).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    limit = max(1, min(max_rows, max_bytes // row_width(df.schema)))
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
 
 
 def left_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:

@@ -164,7 +164,7 @@ def j3_visit_patient_view(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", F.col("o_custkey").alias("c_custkey"))
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     return joins.inner_join_project(o, c, "c_custkey", ["o_orderkey", "o_orderdate", "c_name", "c_nationkey"],
-                                    right_max_rows=2_000_000)
+                                    right_max_rows=1_000_000)
 
 
 @query("p9_replace_sentinel", """SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN -1.0 ELSE o_totalprice END AS raw,

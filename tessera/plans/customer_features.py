@@ -120,8 +120,11 @@ def customer_features(customers: DataFrame, accounts: DataFrame, transactions: D
     per_customer = acc.groupBy(customer_id).agg(*aggs)
 
     # 4. customers with their age (F6), left-join, coalesce to 0
+    # hash-partitioned on the customer key once: the de-duplication of
+    # (customer, age) and the join below both reuse that partitioning
     ages = customers.select(
-        F.col(customer_id), whole_years(F.col(birth_date), as_of_col).alias(AGE)).distinct()
+        F.col(customer_id), whole_years(F.col(birth_date), as_of_col).alias(AGE)).repartition(
+        customer_id).distinct()
     joined = ages.join(per_customer, on=customer_id, how="left")
     feature_cols = [c for c in output_columns(customer_id) if c not in (customer_id, AGE)]
     out = joined.select(

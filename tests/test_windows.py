@@ -56,3 +56,19 @@ def test_period_returns(spark):
     df = spark.createDataFrame(rows, "d date, p double")
     r = {x.period: x.period_return for x in W.period_returns(df, "d", "p", "month").collect()}
     assert r["2024-01"] is None and abs(r["2024-02"] - 0.5) < 1e-12
+
+
+def test_global_index_materialized(spark):
+    df = _data(spark, 50, 2)
+    a = W.global_index(df, ["s", "t"], materialize=True).select("s", "t", "row_index")
+    b = W.global_index(df, ["s", "t"]).select("s", "t", "row_index")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_bounded_broadcast(spark):
+    from tessera.operators.joins import bounded_broadcast
+    small = spark.range(10)
+    assert "ResolvedHint" in small.transform(lambda d: bounded_broadcast(d, 100))._jdf.queryExecution().analyzed().toString() \
+        or "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
+    big = spark.range(1000)
+    assert bounded_broadcast(big, 100) is big
