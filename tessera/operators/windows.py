@@ -66,19 +66,29 @@ def global_index(df: DataFrame, order_by, out: str = "row_index", start: int = 1
 # ---------------------------------------------------------------- rolling engine
 def rolling(df: DataFrame, order_by, columns: dict[str, Callable[[WindowSpec], Column]],
             lo: int, hi: int, partition_by=None, bucket_rows: int = 1_000_000,
-            strategy: str = "halo") -> DataFrame:
+            strategy: str = "auto") -> DataFrame:
     """Add window columns with a ROWS frame ``[lo, hi]`` per ``partition_by``.
 
     ``columns`` maps an output name to ``fn(window_spec) -> Column``, e.g.
     ``{"ma": lambda w: F.avg("price").over(w)}``; the spec already carries the
-    partitioning, the order and the frame. ``strategy="window"`` uses one
-    plain Spark window (cheap when every partition is small and a partition
-    key exists); ``"halo"`` (default) is skew-proof and needs no key.
+    partitioning, the order and the frame.
+
+    ``strategy``: ``"window"`` is one plain Spark window; ``"halo"`` is the
+    skew-proof bucketed plan; ``"auto"`` (default) measures the largest
+    partition with one aggregation (the total row count when there is no
+    partition key) and uses the plain window only when that size is at most
+    ``bucket_rows`` - so no window task can exceed the bound - else the halo.
     """
     parts = _cols(partition_by)
     keys = _cols(order_by)
-    if strategy == "window" and parts:
-        w = Window.partitionBy(*parts).orderBy(*keys).rowsBetween(lo, hi)
+    if strategy == "auto":
+        if parts:
+            biggest = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).collect()[0][0]
+        else:
+            biggest = df.limit(bucket_rows + 1).count()
+        strategy = "window" if (biggest or 0) <= bucket_rows else "halo"
+    if strategy == "window":
+        w = (Window.partitionBy(*parts) if parts else Window).orderBy(*keys).rowsBetween(lo, hi)
         return df.withColumns({k: fn(w) for k, fn in columns.items()})
 
     back, fwd = max(0, -lo), max(0, hi)
