@@ -32,6 +32,16 @@ def _q(c):
     return F.col(f"`{c}`")
 
 
+def _uniq(*groups) -> list[str]:
+    """Column names of several lists, each once, in first-seen order."""
+    out = []
+    for g in groups:
+        for c in ([g] if isinstance(g, str) else g):
+            if c not in out:
+                out.append(c)
+    return out
+
+
 # ------------------------------------------------------------------ M17
 def index_labels(df: DataFrame, inputCol: str, outputCol: str = "target"):
     """``StringIndexer``: most frequent first, ties alphabetical. Returns the
@@ -163,67 +173,143 @@ def gap(train_r2, test_r2):
     return 1 - test_r2 / train_r2
 
 
-# ------------------------------------------------------------------ fit / score helpers
-def _prepare(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, degree: int = 1):
-    """Standardise on the training rows only (scaler refit per split / fold),
-    then assemble."""
-    sc = Standardizer(inputCols=list(features)).fit(train)
+# ------------------------------------------------------------------ fold engine
+def _train_stats(frame: DataFrame, features: Sequence[str], label: str, masks: dict) -> dict:
+    """For every training mask: n, mean and population sd of each feature
+    and of the label - all masks in ONE aggregation pass."""
+    aggs = []
+    for f, m in masks.items():
+        t = _tag(f)
+        aggs.append(F.count_if(m).alias(f"n_{t}"))
+        for j, c in enumerate(list(features) + [label]):
+            x = F.when(m, F.col(c).cast("double"))
+            aggs += [F.sum(x).alias(f"s_{t}_{j}"), F.sum(x * x).alias(f"q_{t}_{j}")]
+    row = frame.agg(*aggs).collect()[0]
+    out = {}
+    for f in masks:
+        t = _tag(f)
+        n = row[f"n_{t}"] or 0
+        mean, sd = [], []
+        for j in range(len(features) + 1):
+            s1, s2 = row[f"s_{t}_{j}"] or 0.0, row[f"q_{t}_{j}"] or 0.0
+            m = s1 / n if n else 0.0
+            v = max(s2 / n - m * m, 0.0) if n else 0.0
+            mean.append(m)
+            sd.append(v ** 0.5)
+        out[f] = {"n": n, "mean": mean[:-1], "sd": [x if x > 0 else 1.0 for x in sd[:-1]], "sd_y": sd[-1]}
+    return out
 
-    def prep(frame):
-        f = sc.transform(frame.select(*features, F.col(label).cast("double").alias("label")))
-        return assemble(f, features, "features", degree)
-    return prep(train), prep(test)
 
+def _tag(tag) -> str:
+    return "_".join(str(t) for t in tag) if isinstance(tag, tuple) else str(tag)
 
-def fit_and_score(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                  estimator_factory: Callable[[DataFrame], LinearRegression], degree: int = 1) -> dict:
-    tr, te = _prepare(train, test, features, label, degree)
-    model = estimator_factory(tr).fit(tr)
-    both = (model.transform(tr).withColumn("__s", F.lit("train"))
-            .unionByName(model.transform(te).withColumn("__s", F.lit("test"))))
-    rows = {r["__s"]: r["r2"] for r in both.groupBy("__s").agg(r2_score(both).alias("r2")).collect()}
-    return {"train": rows.get("train"), "test": rows.get("test"), "model": model}
+
+def _prepared(frame: DataFrame, features: Sequence[str], label: str, st: dict, tag, degree: int):
+    """Features standardised with the training statistics of ``tag``,
+    assembled (and expanded) into the vector column ``__v_<tag>``."""
+    tag = _tag(tag)
+    cols = [((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(f"__x_{tag}_{j}")
+            for j, (c, m, s) in enumerate(zip(features, st["mean"], st["sd"]))]
+    names = [f"__x_{tag}_{j}" for j in range(len(features))]
+    out = frame.select("*", *cols)
+    raw = f"__v_{tag}" if degree == 1 else f"__r_{tag}"
+    out = VectorAssembler(inputCols=names, outputCol=raw).transform(out)
+    if degree > 1:
+        out = PolynomialExpansion(degree=degree, inputCol=raw, outputCol=f"__v_{tag}").transform(out)
+    return out
 
 
-def ols_factory(_train):
+def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks: dict, test_masks: dict,
+              estimator_factory=None, degree: int = 1, stats: dict | None = None) -> list[tuple]:
+    """Fit one model per training mask and score it on its training and test
+    rows: ``[(tag, r2_train, r2_test, model)]``.
+
+    Passes over ``frame``: one for all training statistics (scaler refit per
+    fold, label sd), one fit per mask (the normal-equation solver aggregates
+    the Gram matrix in a single pass), one for all R^2 sums at once.
+    """
+    factory = estimator_factory or ols_factory
+    frame = frame.where(F.col(label).isNotNull())
+    for c in features:
+        frame = frame.where(F.col(c).isNotNull())
+    st = stats or _train_stats(frame, features, label, train_masks)
+    models = {}
+    for tag, m in train_masks.items():
+        train = _prepared(frame.where(m), features, label, st[tag], tag, degree)
+        est = factory(st[tag]["n"], st[tag]["sd_y"]).setFeaturesCol(f"__v_{_tag(tag)}").setLabelCol(label)
+        models[tag] = est.fit(train)
+    scored = frame
+    for tag, model in models.items():
+        scored = _prepared(scored, features, label, st[tag], tag, degree)
+        scored = model.copy().setFeaturesCol(f"__v_{_tag(tag)}").setPredictionCol(f"__p_{_tag(tag)}").transform(scored)
+    y = F.col(label).cast("double")
+    aggs = []
+    for tag in models:
+        for part, m in (("tr", train_masks[tag]), ("te", test_masks[tag])):
+            p, t = F.col(f"__p_{_tag(tag)}"), _tag(tag)
+            aggs += [F.sum(F.when(m, (y - p) * (y - p))).alias(f"e_{t}_{part}"),
+                     F.sum(F.when(m, y)).alias(f"s_{t}_{part}"), F.sum(F.when(m, y * y)).alias(f"q_{t}_{part}"),
+                     F.count_if(m).alias(f"n_{t}_{part}")]
+    row = scored.agg(*aggs).collect()[0]
+
+    def r2(tag, part):
+        t = _tag(tag)
+        n = row[f"n_{t}_{part}"]
+        if not n:
+            return None
+        sst = row[f"q_{t}_{part}"] - row[f"s_{t}_{part}"] ** 2 / n
+        return 1.0 - row[f"e_{t}_{part}"] / sst if sst else None
+    return [(tag, r2(tag, "tr"), r2(tag, "te"), models[tag]) for tag in models]
+
+
+def ols_factory(n, sd_y):
     return linear_regression()
 
 
 def ridge_factory(alpha: float):
     """scikit-learn ``Ridge(alpha)`` on standardised features: Spark
-    ``regParam = alpha * sd(y) / n`` with the population sd."""
-    def make(train):
-        st = train.agg(F.stddev_pop("label").alias("s"), F.count(F.lit(1)).alias("n")).collect()[0]
-        return linear_regression(alpha * st["s"] / st["n"], 0.0)
-    return make
+    ``regParam = alpha * sd(y) / n`` with the population sd of the training label."""
+    return lambda n, sd_y: linear_regression(alpha * sd_y / n, 0.0)
 
 
 def lasso_factory(alpha: float):
     """scikit-learn ``Lasso(alpha)``: ``regParam = alpha``, pure L1."""
-    return lambda _train: linear_regression(alpha, 1.0)
+    return lambda n, sd_y: linear_regression(alpha, 1.0)
 
 
 def elastic_net_factory(alpha: float, l1_ratio: float):
     """scikit-learn ``ElasticNet(alpha, l1_ratio)``: L1 = alpha*r,
     L2 = alpha*(1-r)*sd(y); ``regParam = L1 + L2``, mixing = L1 / regParam."""
-    def make(train):
-        s = train.agg(F.stddev_pop("label").alias("s")).collect()[0]["s"]
-        l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * s
+    def make(n, sd_y):
+        l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * sd_y
         reg = l1 + l2
         return linear_regression(reg, (l1 / reg) if reg else 0.0)
     return make
 
 
+def _prepare(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, degree: int = 1):
+    """Standardise on the training rows only, then assemble ``features``
+    (and the label as ``label``) - for single fits outside the fold engine."""
+    sc = Standardizer(inputCols=list(features)).fit(train)
+
+    def prep(frame):
+        f = sc.transform(frame.select(*features, F.col(label).cast("double").alias("label")))
+        return assemble(f, features, "features", degree)
+    return prep(train), prep(test)
+
+
 # ------------------------------------------------------------------ M27
 def holdout_evaluation(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                        test_sizes: Sequence[float] = (0.2, 0.3), seed: int = 0,
                        estimator_factory=ols_factory) -> DataFrame:
-    """R^2 train / test and gap for each hold-out size (long form)."""
-    rows = []
-    for ts in test_sizes:
-        tr, te = hash_split(df, keys, ts, seed)
-        s = fit_and_score(tr, te, features, label, estimator_factory)
-        rows.append((float(ts), s["train"], s["test"], gap(s["train"], s["test"])))
+    """R^2 train / test and gap for each hold-out size (long form); all sizes
+    share the statistics and evaluation passes."""
+    u = hash_fraction(keys, seed)
+    frame = df.select(*features, label, u.alias("__u"))
+    tr = {i: F.col("__u") >= ts for i, ts in enumerate(test_sizes)}
+    te = {i: F.col("__u") < ts for i, ts in enumerate(test_sizes)}
+    res = run_folds(frame, features, label, tr, te, estimator_factory)
+    rows = [(float(test_sizes[i]), a, b, gap(a, b)) for i, a, b, _ in res]
     return df.sparkSession.createDataFrame(rows, "test_size double, r2_train double, r2_test double, gap double")
 
 
@@ -232,18 +318,18 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, keys: Seq
                    seed: int = 0, estimator_factory=ols_factory, degree: int = 1,
                    folded: DataFrame | None = None) -> DataFrame:
     """k-fold CV with the scaler refit on each training part; one row per
-    fold ``(fold, r2_train, r2_test)``. The folded input is cached once."""
-    f = folded if folded is not None else assign_folds(df.select(*keys, *features, label), keys, k, seed)
-    f = f.cache()
+    fold ``(fold, r2_train, r2_test)``."""
+    own = folded is None
+    f = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache() if own else folded
     try:
-        rows = []
-        for i in range(k):
-            s = fit_and_score(f.where(F.col("fold") != i), f.where(F.col("fold") == i), features, label,
-                              estimator_factory, degree)
-            rows.append((i, s["train"], s["test"]))
+        fold = F.col("fold")
+        res = run_folds(f, features, label, {i: fold != i for i in range(k)}, {i: fold == i for i in range(k)},
+                        estimator_factory, degree)
     finally:
-        f.unpersist()
-    return df.sparkSession.createDataFrame(rows, "fold int, r2_train double, r2_test double")
+        if own:
+            f.unpersist()
+    return df.sparkSession.createDataFrame([(i, a, b) for i, a, b, _ in res],
+                                           "fold int, r2_train double, r2_test double")
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:
@@ -260,18 +346,26 @@ def regularization_sweep(df: DataFrame, features: Sequence[str], label: str, key
     """Cross-validate each candidate ``(name, estimator_factory)``; flag the
     chosen one by the reference rule: accepted when both mean scores are
     within ``tolerance`` of the unregularised ones and the gap beats the best
-    so far; without a baseline every candidate is accepted, so the last wins."""
-    folded = assign_folds(df.select(*keys, *features, label), keys, k, seed).cache()
+    so far; without a baseline every candidate is accepted, so the last wins.
+    Folds, cache and training statistics are shared by all candidates."""
+    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache()
+    fold = F.col("fold")
+    tr, te = {i: fold != i for i in range(k)}, {i: fold == i for i in range(k)}
     rows, best, best_gap = [], None, None
     try:
+        clean = folded.where(F.col(label).isNotNull())
+        stats = _train_stats(clean, features, label, tr)
         for name, factory in candidates:
-            s = cv_summary(cross_validate(df, features, label, keys, k, seed, factory, folded=folded)).collect()[0]
+            res = run_folds(folded, features, label, tr, te, factory, stats=stats)
+            mt = sum(r[1] for r in res) / k
+            ms = sum(r[2] for r in res) / k
+            g = 1 - ms / mt
             ok = (base_train is None or base_test is None or
-                  (s["mean_train"] >= base_train - tolerance and s["mean_test"] >= base_test - tolerance and
-                   (best_gap is None or s["gap"] < best_gap)))
+                  (mt >= base_train - tolerance and ms >= base_test - tolerance and
+                   (best_gap is None or g < best_gap)))
             if ok:
-                best, best_gap = name, s["gap"]
-            rows.append((name, s["mean_train"], s["mean_test"], s["gap"]))
+                best, best_gap = name, g
+            rows.append((name, mt, ms, g))
     finally:
         folded.unpersist()
     out = df.sparkSession.createDataFrame(rows, "candidate string, mean_train double, mean_test double, gap double")
@@ -290,12 +384,17 @@ def elastic_net_candidates(alphas: Sequence[float], l1_ratios: Sequence[float]):
 # ------------------------------------------------------------------ M32
 def feature_ablation(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                      drops: Sequence[Sequence[str]], k: int = 5, seed: int = 0) -> DataFrame:
-    """CV summary with all features and with each listed subset removed."""
+    """CV summary with all features and with each listed subset removed
+    (one fold assignment, cached, for every variant)."""
+    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache()
     rows = []
-    for drop in [()] + [tuple(x) for x in drops]:
-        use = [c for c in features if c not in drop]
-        s = cv_summary(cross_validate(df, use, label, keys, k, seed)).collect()[0]
-        rows.append(("all" if not drop else "without " + ", ".join(drop), s["mean_train"], s["mean_test"], s["gap"]))
+    try:
+        for drop in [()] + [tuple(x) for x in drops]:
+            use = [c for c in features if c not in drop]
+            s = cv_summary(cross_validate(df, use, label, keys, k, seed, folded=folded)).collect()[0]
+            rows.append(("all" if not drop else "without " + ", ".join(drop), s["mean_train"], s["mean_test"], s["gap"]))
+    finally:
+        folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "variant string, mean_train double, mean_test double, gap double")
 
 
@@ -304,23 +403,23 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Seq
                    sizes: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0), k: int = 5, seed: int = 0,
                    estimator_factory=ols_factory) -> DataFrame:
     """Mean train / test R^2 over ``k`` folds at growing shares of each
-    training part (nested prefixes of the hashed order)."""
-    folded = assign_folds(df.select(*keys, *features, label), keys, k, seed).cache()
+    training part (nested prefixes of the hashed order). All sizes and folds
+    share one statistics pass and one evaluation pass."""
+    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache()
     try:
         n = folded.count()
-        rows = []
-        for share in sizes:
-            tr_s, te_s = [], []
+        r, fold = F.col("__rank"), F.col("fold")
+        tr, te = {}, {}
+        for si, share in enumerate(sizes):
             for i in range(k):
                 n_train = n - (n - i + k - 1) // k
                 m = max(int(share * n_train), 2)
-                r = F.col("__rank")
                 train_rank = r - F.floor((r - i + k - 1) / k)
-                train = folded.where((F.col("fold") != i) & (train_rank < m))
-                s = fit_and_score(train, folded.where(F.col("fold") == i), features, label, estimator_factory)
-                tr_s.append(s["train"])
-                te_s.append(s["test"])
-            rows.append((float(share), sum(tr_s) / k, sum(te_s) / k))
+                tr[(si, i)] = (fold != i) & (train_rank < m)
+                te[(si, i)] = fold == i
+        res = {tag: (a, b) for tag, a, b, _ in run_folds(folded, features, label, tr, te, estimator_factory)}
+        rows = [(float(share), sum(res[(si, i)][0] for i in range(k)) / k, sum(res[(si, i)][1] for i in range(k)) / k)
+                for si, share in enumerate(sizes)]
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "train_share double, mean_train double, mean_test double")

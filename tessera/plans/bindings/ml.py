@@ -257,7 +257,7 @@ def m26_r2_of_regression_line(spark, d):
 def m25_ols_coefficients(spark, d):
     df = reg_data(spark, d)
     tr, te = MD._prepare(df, df, RFEAT, RLABEL)
-    model = MD.linear_regression().fit(tr)
+    model = MD.linear_regression().setLabelCol("label").fit(tr)
     return MD.coefficient_table(spark, model, RFEAT).select("feature", F.round("coefficient", 4).alias("coefficient"))
 
 

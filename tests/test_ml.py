@@ -110,7 +110,7 @@ def test_ols_and_ridge_mapping(spark):
     ref = np.linalg.lstsq(np.column_stack([Xs, np.ones(n)]), yv, rcond=None)[0]
     assert np.allclose(ols.coefficients.toArray(), ref[:3], atol=1e-6)
     alpha = 10.0
-    ridge = MD.ridge_factory(alpha)(tr).fit(tr)
+    ridge = MD.ridge_factory(alpha)(n, yv.std()).fit(tr)
     Xc, yc = Xs - Xs.mean(0), yv - yv.mean()
     ref_r = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(3), Xc.T @ yc)
     assert np.allclose(ridge.coefficients.toArray(), ref_r, atol=1e-4)
@@ -171,3 +171,24 @@ def test_knn_imputer_exact(spark):
     model = PR.KNNImputer(inputCols=["a", "b", "c"], idCol="id", k=5, blockRows=17).fit(df)
     got = model.transform(df).orderBy("id").toPandas()[["a", "b", "c"]].to_numpy()
     assert np.allclose(got, _knn_reference(X, 5), atol=1e-9)
+
+
+def test_fold_engine_matches_direct_fits(spark):
+    rnd = np.random.default_rng(4)
+    n = 200
+    X = rnd.normal(size=(n, 2))
+    yv = X @ np.array([2.0, -1.0]) + rnd.normal(0, 1, n)
+    df = spark.createDataFrame([(i, float(X[i, 0]), float(X[i, 1]), float(yv[i])) for i in range(n)],
+                               "id long, a double, b double, y double")
+    folds = MD.cross_validate(df, ["a", "b"], "y", ["id"], k=4).orderBy("fold").collect()
+    fa = MD.assign_folds(df, ["id"], 4).select("id", "fold").toPandas().set_index("id")["fold"]
+    for r in folds:
+        tr = fa.index[fa != r.fold].to_numpy()
+        te = fa.index[fa == r.fold].to_numpy()
+        A = np.column_stack([X[tr], np.ones(len(tr))])
+        w = np.linalg.lstsq(A, yv[tr], rcond=None)[0]
+
+        def r2(idx):
+            p = np.column_stack([X[idx], np.ones(len(idx))]) @ w
+            return 1 - ((yv[idx] - p) ** 2).sum() / ((yv[idx] - yv[idx].mean()) ** 2).sum()
+        assert abs(r.r2_train - r2(tr)) < 1e-9 and abs(r.r2_test - r2(te)) < 1e-9
