@@ -71,7 +71,10 @@ def assign_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 0,
     """Equal-sized folds: rank rows by (hash, key) with the global index and
     take the rank modulo ``k``. Keeps the rank for learning-curve prefixes."""
     h = F.xxhash64(*[_q(c) for c in keys], F.lit(seed)).alias("__h")
-    ranked = global_index(df.withColumn("__h", h), ["__h", *keys], out=rank_col, start=0).drop("__h")
+    # order by the hash, the keys, then every other column: rows tied on all
+    # of them are identical, so a recomputation gives the same folds
+    order = ["__h", *_uniq(keys, df.columns)]
+    ranked = global_index(df.withColumn("__h", h), order, out=rank_col, start=0).drop("__h")
     return ranked.withColumn(fold_col, (F.col(rank_col) % k).cast("int"))
 
 

@@ -336,3 +336,21 @@ def u3_function_step_in_pipeline(spark, d):
     pipe = Pipeline(stages=[step, PR.Standardizer(inputCols=["unit_price"])])
     p = table(spark, d, "part")
     return pipe.fit(p).transform(p).select("p_partkey", F.round("unit_price", 6).alias("unit_price"))
+
+
+@query("m18_m20_tokens_and_counts")
+def m18_m20_tokens_and_counts(spark, d):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Tokenizer
+
+    from tessera.functions.stopwords import ENGLISH
+    doc = articles(spark, d)
+    pipe = Pipeline(stages=[Tokenizer(inputCol="summary", outputCol="tokens"),
+                            StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=list(ENGLISH)),
+                            CountVectorizer(inputCol="filtered", outputCol="counts", vocabSize=1 << 18)])
+    model = pipe.fit(doc)
+    vocab = len(model.stages[-1].vocabulary)
+    out = model.transform(doc)
+    return out.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("filtered").alias("n_kept"),
+                      F.size(F.array_distinct("filtered")).alias("n_distinct_terms"),
+                      F.lit(vocab).alias("vocabulary_size"))
