@@ -97,8 +97,8 @@ def _quantiles_by_buckets(df, cols, qs, buckets, accuracy, window_limit):
                             for i in range(len(cols))]).collect()[0]
     splits = []
     for i in range(len(cols)):
-        inner = sorted(set(x for x in (edges_row[f"e{i}"] or []) if x is not None))
-        splits.append([-math.inf] + inner + [math.inf])
+        inner = sorted(set(x for x in (edges_row[f"e{i}"] or []) if x is not None)) or [0.0]
+        splits.append([-math.inf] + inner + [math.inf])  # Bucketizer needs one inner edge at least
     bz = Bucketizer(splitsArray=splits, inputCols=[f"v{i}" for i in range(len(cols))],
                     outputCols=[f"b{i}" for i in range(len(cols))], handleInvalid="keep")
     tagged = bz.transform(clean)

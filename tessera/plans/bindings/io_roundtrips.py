@@ -126,7 +126,8 @@ def r1_incremental_load(spark, d):
     return spark.read.parquet(tgt)
 
 
-@query("r2_load_report")
+@query("r2_load_report", """SELECT CAST(count(*) AS INTEGER) AS "Totale_Ricoveri", CAST(0 AS BIGINT) AS batch_id
+    FROM events""")
 def r2_load_report(spark, d):
     base = _scratch(spark, "ingest-report")
     src, tgt, ck, rep = (f"{base}/{x}" for x in ("src", "tgt", "ck", "rep"))
