@@ -16,6 +16,11 @@ RECORD_PATTERN = r"(\d{2}/\d{2}/\d{4})\s+(.+?)\s+(\d+(?:[.,]\d{1,})?)$"
 CURRENCY_MARKS = ("Â£", "£")
 
 
+def is_blank(c) -> Column:
+    """Empty after Python's ``str.strip()`` (any Unicode whitespace)."""
+    return _c(c).rlike(r"(?U)^\s*$")
+
+
 # F2
 def decimal_comma_number(c, to: str = "double") -> Column:
     """``'45,88'`` -> 45.88: decimal comma to point, then a safe cast."""
@@ -65,7 +70,7 @@ def parse_record(c) -> Column:
     amt = F.regexp_extract(t, RECORD_PATTERN, 3)
     matched = t.rlike(RECORD_PATTERN)
     date = F.try_to_date(d, "dd/MM/yyyy")
-    ok = matched & date.isNotNull() & (F.trim(desc) != "") & valid_amount(amt)
+    ok = matched & date.isNotNull() & ~is_blank(desc) & valid_amount(amt)
     return F.struct(
         ok.alias("ok"),
         F.when(ok, date).alias("date"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import valid_amount, valid_day_month_year
+from tessera.functions.text import is_blank, valid_amount, valid_day_month_year
 
 # The valid ratings and stock statuses of the book catalogue.
 VALID_RATINGS = ("One", "Two", "Three", "Four", "Five")
@@ -40,7 +40,7 @@ def validate_ledger(df: DataFrame, date_col: str = "Date", desc_col: str = "Desc
     number (decimal comma allowed)."""
     reason = _first_failure([
         (valid_day_month_year(_q(date_col)), "bad_date"),
-        (F.trim(_q(desc_col)) != "", "empty_description"),
+        (~is_blank(_q(desc_col)), "empty_description"),
         (valid_amount(_q(amount_col)), "bad_amount"),
     ])
     return df.withColumn("reason", reason).withColumn("is_valid", F.col("reason").isNull())
@@ -71,7 +71,7 @@ def validate_books(df: DataFrame, title: str = "Title", rating: str = "Rating",
     """Domain rules of the book catalogue; a missing price passes (as NaN
     does in the reference) and is handled by the missing-value step."""
     reason = _first_failure([
-        (F.trim(_q(title)) != "", "empty_title"),
+        (~is_blank(_q(title)), "empty_title"),
         (_q(rating).isin(*VALID_RATINGS), "bad_rating"),
         (~F.coalesce(_q(price) < 0, F.lit(False)), "negative_price"),
         (_q(stock).isin(*VALID_STOCK), "bad_stock"),

@@ -29,6 +29,12 @@ def _q(name):
     return F.col(f"`{name}`")
 
 
+def _num(name):
+    """The column as DOUBLE with NaN read as missing (pandas skips both)."""
+    x = _q(name).cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
+
+
 def stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Wide -> long ``(*keep, column, value)`` with value as DOUBLE."""
     narrow = spread(df.select(*[_q(k) for k in keep], *[_q(c).cast("double").alias(c) for c in cols]))
@@ -39,7 +45,7 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, count, mean, std, min, max)`` in one pass (sample sd as pandas)."""
     aggs = []
     for i, c in enumerate(cols):
-        x = _q(c).cast("double")
+        x = _num(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
@@ -203,7 +209,7 @@ def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     (A20): Spark's population skewness times sqrt(n(n-1))/(n-2)."""
     aggs = []
     for i, c in enumerate(cols):
-        x = _q(c).cast("double")
+        x = _num(c)
         aggs += [F.skewness(x).alias(f"g{i}"), F.count(x).alias(f"n{i}")]
     one = df.agg(*aggs)
     rows = []
@@ -280,7 +286,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation for every ordered pair, pairwise-complete."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = df.agg(*[F.corr(_q(a).cast("double"), _q(b).cast("double")).alias(f"c{i}")
+    one = df.agg(*[F.corr(_num(a), _num(b)).alias(f"c{i}")
                    for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r")) for c in cols]
     for i, (a, b) in enumerate(pairs):
@@ -292,7 +298,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def grade_correlations(df: DataFrame, cols: Sequence[str], target: str,
                        weak: float = 0.25, medium: float = 0.5) -> DataFrame:
     """``(column, r, grade)``: |r| < 0.25 weak, < 0.5 medium, else strong."""
-    one = df.agg(*[F.corr(_q(c).cast("double"), _q(target).cast("double")).alias(f"c{i}")
+    one = df.agg(*[F.corr(_num(c), _num(target)).alias(f"c{i}")
                    for i, c in enumerate(cols)])
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("r")) for i, c in enumerate(cols)]
     out = one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
@@ -303,9 +309,9 @@ def grade_correlations(df: DataFrame, cols: Sequence[str], target: str,
 def regression_lines(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """``(column, slope, intercept)`` of the simple least-squares line of the
     target on each feature (A27)."""
-    y = _q(target).cast("double")
-    one = df.agg(*[F.regr_slope(y, _q(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
-                 *[F.regr_intercept(y, _q(c).cast("double")).alias(f"b{i}") for i, c in enumerate(cols)])
+    y = _num(target)
+    one = df.agg(*[F.regr_slope(y, _num(c)).alias(f"s{i}") for i, c in enumerate(cols)],
+                 *[F.regr_intercept(y, _num(c)).alias(f"b{i}") for i, c in enumerate(cols)])
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("slope"), F.col(f"b{i}").alias("intercept"))
             for i, c in enumerate(cols)]
     return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")

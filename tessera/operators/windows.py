@@ -153,9 +153,14 @@ def duplicate_key_rows(df: DataFrame, key, flag: str | None = None) -> DataFrame
     """
     keys = _cols(key)
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+    dup = dup.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__cnt")
+    # NULL keys form one group, as in pandas: compare null-safely
+    cond = [df[k].eqNullSafe(dup[f"__k{i}"]) for i, k in enumerate(keys)]
     if flag:
-        return df.join(dup, keys, "left").withColumn(flag, F.col("__cnt") > 1).drop("__cnt")
-    return df.join(dup.where(F.col("__cnt") > 1).select(*keys), keys, "left_semi")
+        j = df.join(dup, cond, "left")
+        return j.withColumn(flag, F.coalesce(F.col("__cnt") > 1, F.lit(False))).drop(
+            "__cnt", *[f"__k{i}" for i in range(len(keys))])
+    return df.join(dup.where(F.col("__cnt") > 1), cond, "left_semi")
 
 
 # ---------------------------------------------------------------- W5

@@ -221,6 +221,7 @@ def o6_union_pages(spark, d):
 
 @query("s9_issues_report", "WITH " + HOLES_SQL + """ SELECT p_partkey, 'duplicate' AS issue FROM holes
     WHERE name IN (SELECT name FROM holes GROUP BY name HAVING count(*) > 1)
+       OR (name IS NULL AND (SELECT count(*) FROM holes WHERE name IS NULL) > 1)
     UNION ALL SELECT p_partkey, 'missing' FROM holes WHERE name IS NULL OR price IS NULL OR isnan(price)""")
 def s9_issues_report(spark, d):
     h = holes(spark, d)

@@ -67,3 +67,20 @@ def test_invariant_to_partitioning_and_order(spark):
     idx_a = sorted(map(tuple, W.global_index(k.repartition(3), ["g", "n"]).collect()))
     idx_b = sorted(map(tuple, W.global_index(k.orderBy(F.rand(1)), ["g", "n"]).collect()))
     assert idx_a == idx_b
+
+
+def test_null_keys_are_duplicates_and_nan_is_missing(spark):
+    import math
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4), ("b", 5)], "k string, n int")
+    assert sorted(r.n for r in W.duplicate_key_rows(df, "k").collect()) == [1, 2, 4, 5]
+    flags = {r.n: r.dup for r in W.duplicate_key_rows(df, "k", flag="dup").collect()}
+    assert flags == {1: True, 2: True, 3: False, 4: True, 5: True}
+    x = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (4.0,)], "x double")
+    m = S.moments(x, ["x"]).collect()[0]
+    assert m["count"] == 3 and abs(m["mean"] - 7 / 3) < 1e-12 and not math.isnan(m["std"])
+
+
+def test_blank_is_python_strip(spark):
+    from tessera.functions.text import is_blank
+    df = spark.createDataFrame([("",), (" \t\n",), (" ",), ("a",)], "t string")
+    assert [r.b for r in df.select(is_blank("t").alias("b")).collect()] == [True, True, True, False]
