@@ -123,7 +123,7 @@ def r1_incremental_load(spark, d):
     ev.where(F.col("event_type") >= "m").write.mode("append").option("header", True).csv(src)
     ingest.incremental_load(spark, src, EVENT_CSV, tgt, ck, after_batch=hook)
     ingest.incremental_load(spark, src, EVENT_CSV, tgt, ck, after_batch=hook)
-    return spark.read.parquet(tgt)
+    return ingest.read_target(spark, tgt)
 
 
 @query("r2_load_report", """SELECT CAST(count(*) AS INTEGER) AS "Totale_Ricoveri", CAST(0 AS BIGINT) AS batch_id

@@ -26,11 +26,16 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
                      checkpoint: str, fmt: str = "csv", after_batch=None, **options) -> dict:
     """Load every new file of ``source_dir`` into the Parquet folder
     ``target_path`` and stop (R1). ``after_batch(batch_df, batch_id)`` runs
-    after each committed batch (R2). Returns counts of this run."""
+    after each batch is written (R2). Returns counts of this run.
+
+    Each micro-batch overwrites its own ``batch_id=N`` sub-folder, so a batch
+    replayed after a failure (written, but not yet committed to the
+    checkpoint) replaces its earlier output instead of duplicating it. Read
+    the target with :func:`read_target`."""
     stream = file_stream(spark, source_dir, schema, fmt, **options)
 
     def write_batch(batch: DataFrame, batch_id: int):
-        batch.write.mode("append").parquet(target_path)
+        batch.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/batch_id={batch_id}")
         if after_batch is not None:
             after_batch(batch, batch_id)
 
@@ -41,6 +46,11 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
     return {"batches": len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0]), "rows": rows}
 
 
+def read_target(spark: SparkSession, target_path: str) -> DataFrame:
+    """The loaded rows, without the ``batch_id`` folder column."""
+    return spark.read.parquet(target_path).drop("batch_id")
+
+
 def count_report(spark: SparkSession, target_path: str, report_path: str,
                  ts_col: str = "Timestamp_Rilevazione", count_col: str = "Totale_Ricoveri"):
     """``after_batch`` hook appending ``(current timestamp, row count of the

@@ -192,3 +192,34 @@ def test_fold_engine_matches_direct_fits(spark):
             p = np.column_stack([X[idx], np.ones(len(idx))]) @ w
             return 1 - ((yv[idx] - p) ** 2).sum() / ((yv[idx] - yv[idx].mean()) ** 2).sum()
         assert abs(r.r2_train - r2(tr)) < 1e-9 and abs(r.r2_test - r2(te)) < 1e-9
+
+
+def _cd_elastic_net(X, y, alpha, l1_ratio, iters=5000):
+    """scikit-learn ElasticNet objective by coordinate descent:
+    1/(2n)||y - Xw - b||^2 + alpha*r*||w||_1 + alpha*(1-r)/2*||w||^2."""
+    n, d = X.shape
+    Xc, yc = X - X.mean(0), y - y.mean()
+    w = np.zeros(d)
+    for _ in range(iters):
+        for j in range(d):
+            r = yc - Xc @ w + Xc[:, j] * w[j]
+            rho = Xc[:, j] @ r / n
+            z = Xc[:, j] @ Xc[:, j] / n
+            w[j] = np.sign(rho) * max(abs(rho) - alpha * l1_ratio, 0) / (z + alpha * (1 - l1_ratio))
+    return w
+
+
+def test_lasso_and_elastic_net_mapping(spark):
+    rnd = np.random.default_rng(9)
+    n = 400
+    X = rnd.normal(size=(n, 3))
+    yv = X @ np.array([3.0, -2.0, 0.05]) + 1 + rnd.normal(0, 1.0, n)
+    df = spark.createDataFrame([(i, *map(float, X[i]), float(yv[i])) for i in range(n)],
+                               "id long, a double, b double, c double, y double")
+    tr, _ = MD._prepare(df, df, ["a", "b", "c"], "y")
+    Xs = (X - X.mean(0)) / X.std(0)
+    for alpha, r in ((0.1, 1.0), (0.5, 1.0), (0.3, 0.5), (1.0, 0.2)):
+        factory = MD.lasso_factory(alpha) if r == 1.0 else MD.elastic_net_factory(alpha, r)
+        model = factory(n, yv.std()).fit(tr)
+        ref = _cd_elastic_net(Xs, yv, alpha, r)
+        assert np.allclose(model.coefficients.toArray(), ref, atol=2e-4), (alpha, r, model.coefficients, ref)

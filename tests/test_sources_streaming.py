@@ -78,16 +78,16 @@ def test_incremental_load(spark, tmp_dir):
     hook = ingest.count_report(spark, tgt, rep, )
     _write(os.path.join(src, "a.csv"), line.format(1))
     ingest.incremental_load(spark, src, schema, tgt, ck, after_batch=hook)
-    assert spark.read.parquet(tgt).count() == 1
+    assert ingest.read_target(spark, tgt).count() == 1
     ingest.incremental_load(spark, src, schema, tgt, ck, after_batch=hook)
-    assert spark.read.parquet(tgt).count() == 1
+    assert ingest.read_target(spark, tgt).count() == 1
     _write(os.path.join(src, "b.csv"), line.format(2))
     ingest.incremental_load(spark, src, schema, tgt, ck, after_batch=hook)
-    assert spark.read.parquet(tgt).count() == 2
+    assert ingest.read_target(spark, tgt).count() == 2
     time.sleep(1.1)
     _write(os.path.join(src, "a.csv"), line.format(3))
     ingest.incremental_load(spark, src, schema, tgt, ck, after_batch=hook)
-    assert spark.read.parquet(tgt).count() == 2
+    assert ingest.read_target(spark, tgt).count() == 2
     totals = sorted(r.Totale_Ricoveri for r in spark.read.parquet(rep).collect())
     assert totals == [1, 2]
 
