@@ -135,3 +135,45 @@ def r2_load_report(spark, d):
     ev.write.mode("append").option("header", True).csv(src)
     ingest.incremental_load(spark, src, EVENT_CSV, tgt, ck, after_batch=ingest.count_report(spark, tgt, rep))
     return spark.read.parquet(rep).select("Totale_Ricoveri", "batch_id")
+
+
+@query("s7_load_to_warehouse_table", """SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS data,
+    CAST(o_totalprice AS DOUBLE) AS prezzo, CAST(length(o_orderpriority) AS INTEGER) AS indice_google_trend FROM orders""")
+def s7_load_to_warehouse_table(spark, d):
+    from tessera.plans.medallion import apply_mapping, load_to_table
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("k"),
+                                         F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"),
+                                         F.col("o_totalprice").cast("string").alias("p"),
+                                         F.length("o_orderpriority").cast("string").alias("t"))
+    typed = apply_mapping(o, [("k", "id", "bigint"), ("d", "data", "date"), ("p", "prezzo", "double"),
+                              ("t", "indice_google_trend", "int")])
+    name = f"tessera_fact_{uuid.uuid4().hex[:12]}"
+    path = _scratch(spark, name)
+    typed.limit(0).write.option("path", path).saveAsTable(name)   # declare (S11-style), then append (S7)
+    load_to_table(typed, name, mode="append")
+    return spark.table(name)
+
+
+@query("s11_declared_clinical_table", """SELECT CAST(o_orderkey AS INTEGER) AS "ID_Ricovero", CAST(o_custkey AS INTEGER) AS "ID_Paziente",
+    CAST(o_orderdate AS DATE) AS "Data_Inizio", CAST(CAST(o_orderdate AS DATE) + INTERVAL 3 DAY AS DATE) AS "Data_Fine",
+    o_orderpriority AS "Reparto", o_orderstatus AS "Motivo_Ricovero" FROM orders""")
+def s11_declared_clinical_table(spark, d):
+    from tessera.sources.schemas import CLINICAL
+    db = f"tessera_clinic_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{_scratch(spark, db)}'")
+    io.create_tables(spark, db, {"ricoveri": CLINICAL["ricoveri"]})
+    o = table(spark, d, "orders")
+    rows = o.select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"), F.to_date("o_orderdate"),
+                    F.date_add(F.to_date("o_orderdate"), 3), F.col("o_orderpriority"), F.col("o_orderstatus"))
+    rows.write.insertInto(f"{db}.ricoveri")
+    return spark.table(f"{db}.ricoveri")
+
+
+@query("s13_drifting_csv_source", """SELECT CAST(p_partkey AS VARCHAR) AS movies, p_type AS "genresgenregenre",
+    CAST(NULL AS VARCHAR) AS "Rating:" FROM part""")
+def s13_drifting_csv_source(spark, d):
+    path = _scratch(spark, "movies-csv")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("movies"), F.col("p_type").alias("genresgenregenre"),
+                                       F.col("p_size").alias("YEAR"))
+    io.export(p, path, "csv")
+    return io.read_csv_text(spark, path, columns=["movies", "genresgenregenre", "Rating:"])

@@ -354,3 +354,22 @@ def m18_m20_tokens_and_counts(spark, d):
     return out.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("filtered").alias("n_kept"),
                       F.size(F.array_distinct("filtered")).alias("n_distinct_terms"),
                       F.lit(vocab).alias("vocabulary_size"))
+
+
+@query("m16_pipeline_save_and_load", f"""WITH {DATA_SQL}, i AS (SELECT {K}, coalesce(q, (SELECT avg(q) FROM data)) AS q,
+    coalesce(price, (SELECT avg(price) FROM data)) AS price FROM data)
+SELECT {K}, """ + ", ".join(sround(f"({c} - (SELECT avg({c}) FROM i)) / (SELECT stddev_pop({c}) FROM i)", 6) + f" AS {c}"
+                           for c in ("q", "price")) + " FROM i")
+def m16_pipeline_save_and_load(spark, d):
+    import uuid
+
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tessera.session import scratch_path
+    df = data(spark, d)
+    model = Pipeline(stages=[PR.Imputer(inputCols=["q", "price"], strategy="mean"),
+                             PR.Standardizer(inputCols=["q", "price"])]).fit(df)
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex[:12]}")
+    model.write().overwrite().save(path)
+    out = PipelineModel.load(path).transform(df)
+    return out.select(*KEYS, r6("q"), r6("price"))

@@ -187,3 +187,35 @@ def f3_strip_thousands(spark, d):
     from tessera.functions.text import strip_thousands
     o = table(spark, d, "orders").select("o_orderkey", F.format_number(F.col("o_totalprice") * 10, 2).alias("txt"))
     return o.select("o_orderkey", strip_thousands("txt").alias("price"))
+
+
+@query("p12_coalesce_zero_after_outer_join", """SELECT c.c_custkey, coalesce(o.n, 0) AS n_orders_1997,
+    coalesce(o.total, 0) AS total_1997 FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders
+    WHERE year(o_orderdate) = 1997 GROUP BY 1) o ON o.o_custkey = c.c_custkey""")
+def p12_coalesce_zero_after_outer_join(spark, d):
+    o = table(spark, d, "orders").where(F.year("o_orderdate") == 1997).groupBy(
+        F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders_1997"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total_1997"))
+    j = joins.left_join(table(spark, d, "customer").select("c_custkey"), o, "c_custkey")
+    return P.coalesce_zero(j, ["n_orders_1997", "total_1997"])
+
+
+@query("f4_parse_date_pattern", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
+    CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d2 FROM orders""")
+def f4_parse_date_pattern(spark, d):
+    from tessera.functions.text import parse_date
+    o = table(spark, d, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "MM/dd/yyyy").alias("t"),
+        F.when(F.col("o_orderkey") % 101 == 0, F.lit("13/45/2020")).otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd")).alias("t2"))
+    return o.select("o_orderkey", parse_date("t", "MM/dd/yyyy").alias("d"), parse_date("t2").alias("d2"))
+
+
+@query("f7_f8_round_and_cast", f"""SELECT o_orderkey, {sround('o_totalprice / 7.0', 2)} AS r2,
+    CAST({sround('o_totalprice / 7.0', 2)} AS DECIMAL(10,2)) AS dec, CAST(o_custkey AS INTEGER) AS cust FROM orders""")
+def f7_f8_round_and_cast(spark, d):
+    o = table(spark, d, "orders")
+    r = F.round(F.col("o_totalprice") / 7.0, 2)
+    return o.select("o_orderkey", r.alias("r2"), r.cast("decimal(10,2)").alias("dec"), F.col("o_custkey").cast("int").alias("cust"))
