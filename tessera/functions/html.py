@@ -140,4 +140,6 @@ def extract_records(df: DataFrame, html_col: str, key_cols, container: tuple,
             yield pd.DataFrame(out, columns=keys + ["position"] + names)
 
     from tessera.operators.partitioning import spread
+    from tessera.shipping import ensure_importable
+    ensure_importable(df.sparkSession)
     return spread(df.select(*keys, html_col)).mapInPandas(run, schema)

@@ -63,6 +63,8 @@ def _candidates(cols, k):
 def knn_impute(df: DataFrame, donors_path: str, cols, id_col: str, k: int, means: dict,
                block_rows: int = 5000, chunk_rows: int = 2000) -> DataFrame:
     spark = df.sparkSession
+    from tessera.shipping import ensure_importable
+    ensure_importable(spark)
     cols = list(cols)
     miss = F.lit(False)
     for c in cols:

@@ -25,8 +25,14 @@ def _cols(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _num_partitions(df: DataFrame, small_rows: int = 1_000_000) -> int:
+    """Range partitions for a global order: the configured shuffle partitions
+    (sized by the cluster for its data), except for an input that a bounded
+    count shows to be small, which gets the default parallelism instead."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if df.limit(small_rows + 1).count() <= small_rows:
+        return max(1, min(configured, df.sparkSession.sparkContext.defaultParallelism))
+    return configured
 
 
 # ---------------------------------------------------------------- W4
