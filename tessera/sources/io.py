@@ -57,21 +57,29 @@ def header_lines(spark: SparkSession, path) -> DataFrame:
     return t.where(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
 
 
-def _positional_rows(spark: SparkSession, path) -> DataFrame:
-    """Ledger rows by position (header line skipped, not checked here)."""
-    s = T.StructType(list(LEDGER_TEXT.fields) + [T.StructField(CORRUPT, T.StringType())])
+def _positional_rows(spark: SparkSession, path, schema: T.StructType = LEDGER_TEXT) -> DataFrame:
+    """Rows by position (header line skipped, not checked here); a row with
+    the wrong field count keeps its raw line in ``_corrupt_record``."""
+    s = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(s).options(header=True, enforceSchema=True, mode="PERMISSIVE",
                                          columnNameOfCorruptRecord=CORRUPT)
             .csv(_paths(path)).withColumn("file", F.col("_metadata.file_path")))
 
 
-def check_ledger_files(spark: SparkSession, path, header: Sequence[str] = LEDGER_HEADER) -> DataFrame:
-    """Per-file verdict of the ledger contract (S2 + P16 + P17):
+def check_csv_files(spark: SparkSession, path, schema: T.StructType, validate=None,
+                    header: Sequence[str] | None = None) -> DataFrame:
+    """Per-file verdict of a CSV contract (S2, P17):
     ``(file, header_ok, n_rows, n_bad_rows, ok)``. A file passes when its
-    header is exactly ``header`` and every row has three valid fields."""
-    heads = header_lines(spark, path).withColumn(
-        "header_ok", F.col("header") == F.lit(",".join(header)))
-    v = validate_ledger(_positional_rows(spark, path), *header)
+    first line is exactly the expected header (the schema's names unless
+    ``header`` is given), no row has the wrong field count, and
+    ``validate(rows) -> rows with is_valid`` (optional) accepts every row."""
+    names = list(header) if header else [f.name for f in schema.fields]
+    heads = header_lines(spark, path).withColumn("header_ok", F.col("header") == F.lit(",".join(names)))
+    rows = _positional_rows(spark, path, schema)
+    # without a validator every parsed row is valid; the expression reads the
+    # data columns because Spark refuses a scan that reads only the corrupt column
+    v = validate(rows) if validate else rows.withColumn(
+        "is_valid", F.length(F.concat_ws("|", *[F.col(f"`{f.name}`").cast("string") for f in schema.fields])) >= 0)
     bad = ~F.col("is_valid") | F.col(CORRUPT).isNotNull()
     per_file = v.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_bad_rows"))
     out = heads.join(per_file, "file", "left").fillna(0, ["n_rows", "n_bad_rows"])
@@ -79,6 +87,12 @@ def check_ledger_files(spark: SparkSession, path, header: Sequence[str] = LEDGER
                       (F.col("header_ok") & (F.col("n_bad_rows") == 0)).alias("ok"))
 
 
+def check_ledger_files(spark: SparkSession, path, header: Sequence[str] = LEDGER_HEADER) -> DataFrame:
+    """The ledger contract: header ``Date,Description,Amount`` and every row
+    a valid record (P16)."""
+    return check_csv_files(spark, path, LEDGER_TEXT, lambda rows: validate_ledger(rows, *header), header)
+
+
 def read_ledger(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     """Typed ledger rows of the files that pass :func:`check_ledger_files`,
     and the rows of the rejected files (S1). Amount text with a decimal comma

@@ -103,3 +103,12 @@ def test_tables_and_warehouse_load(spark, tmp_dir):
     load_to_table(typed, "tessera_test.price_fact")
     load_to_table(typed, "tessera_test.price_fact")
     assert spark.table("tessera_test.price_fact").count() == 2
+
+
+def test_generic_csv_contract(spark, tmp_dir):
+    head = "ID_Utente,Nome,Cognome,Email,Ruolo,Reparto\n"
+    _write(os.path.join(tmp_dir, "ok.csv"), head + "1,Anna,Neri,a@x.it,medico,Cardio\n")
+    _write(os.path.join(tmp_dir, "short.csv"), head + "2,Luca,Bianchi\n")
+    _write(os.path.join(tmp_dir, "head.csv"), "id,nome\n3,Sara\n")
+    v = {os.path.basename(r.file): r.ok for r in io.check_csv_files(spark, tmp_dir, CLINICAL["utenti"]).collect()}
+    assert v == {"ok.csv": True, "short.csv": False, "head.csv": False}
