@@ -223,7 +223,8 @@ def _prepared(frame: DataFrame, features: Sequence[str], label: str, st: dict, t
 
 
 def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks: dict, test_masks: dict,
-              estimator_factory=None, degree: int = 1, stats: dict | None = None) -> list[tuple]:
+              estimator_factory=None, degree: int = 1, stats: dict | None = None,
+              parallelism: int = 4) -> list[tuple]:
     """Fit one model per training mask and score it on its training and test
     rows: ``[(tag, r2_train, r2_test, model)]``.
 
@@ -236,11 +237,15 @@ def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks
     for c in features:
         frame = frame.where(F.col(c).isNotNull())
     st = stats or _train_stats(frame, features, label, train_masks)
-    models = {}
-    for tag, m in train_masks.items():
-        train = _prepared(frame.where(m), features, label, st[tag], tag, degree)
+    def fit(tag):
+        train = _prepared(frame.where(train_masks[tag]), features, label, st[tag], tag, degree)
         est = factory(st[tag]["n"], st[tag]["sd_y"]).setFeaturesCol(f"__v_{_tag(tag)}").setLabelCol(label)
-        models[tag] = est.fit(train)
+        return est.fit(train)
+
+    from concurrent.futures import ThreadPoolExecutor
+    tags = list(train_masks)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tags)))) as pool:
+        models = dict(zip(tags, pool.map(fit, tags)))
     scored = frame
     for tag, model in models.items():
         scored = _prepared(scored, features, label, st[tag], tag, degree)
