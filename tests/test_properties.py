@@ -84,3 +84,18 @@ def test_blank_is_python_strip(spark):
     from tessera.functions.text import is_blank
     df = spark.createDataFrame([("",), (" \t\n",), (" ",), ("a",)], "t string")
     assert [r.b for r in df.select(is_blank("t").alias("b")).collect()] == [True, True, True, False]
+
+
+def test_unordered_surrogate_index_and_quarantine(spark):
+    from tessera.operators.project import surrogate_index
+    df = spark.range(0, 50, 1, 4).withColumnRenamed("id", "k")
+    idx = surrogate_index(df, out="RowIndex")
+    got = sorted(r.RowIndex for r in idx.collect())
+    assert got == list(range(1, 51))
+    again = {r.k: r.RowIndex for r in idx.collect()}
+    assert again == {r.k: r.RowIndex for r in idx.collect()}   # stable on recomputation
+    led = spark.createDataFrame([("01/02/2024", "x", "1,5", "f1"), ("31/02/2024", "y", "2", "f1"),
+                                 ("03/02/2024", "z", "3", "f2")], "Date string, Description string, Amount string, file string")
+    good, bad = Q.split_valid(Q.validate_ledger(led))
+    assert good.count() == 2 and [r.reason for r in bad.collect()] == ["bad_date"]
+    assert [r.file for r in Q.rows_of_valid_files(Q.validate_ledger(led)).collect()] == ["f2"]
