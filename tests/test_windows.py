@@ -72,3 +72,24 @@ def test_bounded_broadcast(spark):
         or "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
     big = spark.range(1000)
     assert bounded_broadcast(big, 100) is big
+
+
+def test_rolling_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None)
+    @given(lo=st.integers(-6, 0), width=st.integers(0, 6), bucket=st.integers(7, 40),
+           n=st.integers(1, 120), series=st.integers(1, 3), seed=st.integers(0, 1000))
+    def check(lo, width, bucket, n, series, seed):
+        rnd = random.Random(seed)
+        hi = min(lo + width, 6)
+        rows = [(s, i, rnd.uniform(-5, 5)) for s in range(series) for i in range(n)]
+        df = spark.createDataFrame(rows, "s int, t int, v double")
+        got = W.rolling(df, ["t"], {"m": lambda w: F.sum("v").over(w)}, lo, hi, "s",
+                        bucket_rows=bucket, strategy="halo")
+        exp = df.withColumn("m", F.sum("v").over(Window.partitionBy("s").orderBy("t").rowsBetween(lo, hi)))
+        key = lambda r: (r.s, r.t, None if r.m is None else round(r.m, 9))
+        assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, exp.collect()), key=repr)
+
+    check()
