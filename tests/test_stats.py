@@ -34,3 +34,23 @@ def test_skewness_and_histogram(spark):
     h = {r["bin"]: r["count"] for r in S.histogram(df, ["x"], 20).collect()}
     ref, _ = np.histogram(x, bins=20)
     assert [h[i] for i in range(20)] == list(ref)
+
+
+def test_quantiles_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(n=st.integers(1, 400), buckets=st.integers(2, 70), limit=st.sampled_from([5, 10_000_000]),
+           decimals=st.integers(0, 3), seed=st.integers(0, 10_000))
+    def check(n, buckets, limit, decimals, seed):
+        rnd = np.random.default_rng(seed)
+        x = np.round(rnd.normal(0, 10, n), decimals)
+        df = spark.createDataFrame([(float(v),) for v in x], "x double")
+        qs = (0.0, 0.33, 0.5, 0.9, 1.0)
+        got = {round(r["q"], 6): r["value"] for r in
+               S.quantiles(df, ["x"], qs, buckets=buckets, window_limit=limit).collect()}
+        for q in qs:
+            assert abs(got[round(q, 6)] - np.quantile(x, q)) < 1e-9
+
+    check()
