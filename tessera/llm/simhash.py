@@ -171,16 +171,16 @@ def links(distinct: DataFrame, distance: int = 4, heavy_share: int = 1024, round
     """
     n = distinct.count()
     groups = bit_groups(distinct, parts_for(n, distance))
-    index = distinct.select("fp", F.col("fp").alias("label"), F.explode(F.array(*_keys(groups))).alias("key"))
-    labels = distinct.select("fp", F.col("fp").alias("label"))
+    labels = write_table(distinct.select("fp", F.col("fp").alias("label"), F.array(*_keys(groups)).alias("keys")), "labels")
     for _ in range(rounds):
-        at = labels.select("fp", "label", F.explode(F.array(*_keys(groups))).alias("key"))
+        at = labels.select("fp", "label", "keys", F.explode("keys").alias("key"))
         centre = at.groupBy("key").agg(F.min(F.struct("label", "fp")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
         near = F.bit_count(F.col("fp").bitwiseXOR(F.col("c.fp"))) <= distance
         labels = write_table(
-            at.join(centre, "key", "left").groupBy("fp")
-            .agg(F.least(F.min("label"), F.min(F.when(near, F.col("c.label")))).alias("label")), "labels")
-    index = labels.select("fp", "label", F.explode(F.array(*_keys(groups))).alias("key"))
+            at.join(centre, "key").where(near).groupBy("fp").agg(F.min("c.label").alias("lower"))
+            .join(labels, "fp", "right")
+            .select("fp", F.least("label", F.coalesce("lower", "label")).alias("label"), "keys"), "labels")
+    index = labels.select("fp", "label", F.explode("keys").alias("key"))
     heavy: dict[int, list] = {}
     for r in index.groupBy("key").count().where(F.col("count") > max(n // heavy_share, 16)).collect() if n else []:
         heavy.setdefault(r["key"] >> 56, []).append((r["key"] & ((1 << 56) - 1), r["count"]))
@@ -214,7 +214,7 @@ def links(distinct: DataFrame, distance: int = 4, heavy_share: int = 1024, round
                                 [pa.array(keys), pa.array(np.repeat(fps[a + sub], len(m))),
                                  pa.array(np.repeat(label[a + sub], len(m)))], names=schema.names)
 
-    probes = labels.mapInArrow(probe, schema).select("key", F.col("fp").alias("a"), F.col("label").alias("la"))
+    probes = labels.select("fp", "label").mapInArrow(probe, schema).select("key", F.col("fp").alias("a"), F.col("label").alias("la"))
     found = index.select("key", F.col("fp").alias("b"), F.col("label").alias("lb"))
     pairs = probes.join(found, (probes["key"] == found["key"]) & (F.col("la") < F.col("lb"))
                         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
@@ -234,6 +234,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, seed:
     """
     prints = write_table(fingerprints(docs, shingle, seed), "fingerprints")
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    first = write_table(first, "distinct")
     component = write_table(links(first.select("fp"), distance).join(first, "fp"), "components")
     smallest = component.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = component.join(smallest, "component").select("fp", "component_id")
