@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, simhash
+from tessera.llm import langid, packing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,3 +33,28 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op10_warc_dictionary"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+     g AS (SELECT hex, min(page_id) AS lowest FROM p GROUP BY hex)
+SELECT p.page_id, p.payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(p.hex, 1 + 5 * (i // 4), 5) AS BIGINT)
+                                >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN p.page_id = g.lowest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id = g.lowest THEN NULL ELSE g.lowest END AS refers_to
+FROM p JOIN g USING (hex)
+"""
