@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, packing, simhash, warc
+from tessera.llm import langid, licenses, packing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -58,3 +58,38 @@ SELECT p.page_id, p.payload_bytes,
        CASE WHEN p.page_id = g.lowest THEN NULL ELSE g.lowest END AS refers_to
 FROM p JOIN g USING (hex)
 """
+
+
+@query
+def op4_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    phrases = ", ".join(f"('{p}', '{label}')" for p, label in licenses.PHRASES)
+    templates = ", ".join(f"('{t}', '{label}')" for t, label in licenses.TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+phrase AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {phrases}) AS t(p, label)),
+base AS (SELECT k, label, pos FROM (SELECT k, label, p, words, unnest(range(0, len(words) - len(p) + 1)) AS pos FROM d, phrase)
+         WHERE words[pos + 1 : pos + len(p)] = p),
+tokens AS (SELECT list_distinct(string_split(t, ' ')) AS t, label FROM (VALUES {templates}) AS t(t, label)),
+block AS (SELECT k, list_distinct(words[s + 1 : s + 48]) AS b
+          FROM (SELECT k, words, unnest(range(0, greatest(len(words) - 25, 0) + 1, 24)) AS s FROM d)
+          WHERE len(list_intersect(words[s + 1 : s + 48], (SELECT flatten(list(t)) FROM tokens))) >= 2),
+share AS (SELECT k, label, len(list_intersect(b, t)) / len(t) AS share FROM block, tokens),
+hit AS (SELECT k, label, share FROM share WHERE share >= 0.8 - 1e-9),
+own AS (SELECT k, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY k),
+every AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT k, label FROM base UNION ALL SELECT k, label FROM hit) GROUP BY k),
+top AS (SELECT k, max(share) AS share FROM hit GROUP BY k)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(own.n, 0) AS n_base, own.lo AS first_word, own.hi AS last_word,
+       coalesce(own.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       CASE WHEN own.n > 0 THEN 1.0::DOUBLE ELSE coalesce(top.share, 0)::DOUBLE END AS score
+FROM d LEFT JOIN own USING (k) LEFT JOIN every USING (k) LEFT JOIN top USING (k)
+"""
+
+
+ORACLE_SQL["op4_license_templates"] = _license_sql()
