@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, packing, simhash, warc
+from tessera.llm import forest, langid, licenses, packing, simhash, syncmers, warc, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -93,3 +93,19 @@ FROM d LEFT JOIN own USING (k) LEFT JOIN every USING (k) LEFT JOIN top USING (k)
 
 
 ORACLE_SQL["op4_license_templates"] = _license_sql()
+
+
+@query
+def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op7_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
