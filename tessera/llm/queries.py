@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import forest, langid, licenses, packing, simhash, syncmers, warc, wrapper
+from tessera.llm import forest, langid, licenses, packing, passages, simhash, syncmers, warc, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -109,3 +109,12 @@ def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", F.size("spans").cast("long").alias("n_spans"),
+                        F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"]).cast("long").alias("repeated_words"),
+                        F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["begin"].cast("string"), s["end"].cast("string"))), ",")
+                        .alias("spans"))

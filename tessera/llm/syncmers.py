@@ -23,7 +23,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def fingerprint(text: Column, k: int = 8, s: int = 2) -> Column:
+def fingerprint(text: Column, k: int = 6, s: int = 2) -> Column:
     """Anchors of a text as ``distance:hash`` entries, joined by commas. A text
     of fewer than ``k`` words is one anchor, the hash of the text itself."""
     inner = k - s + 1
@@ -80,7 +80,7 @@ def with_next(docs: DataFrame, columns: list[str], buckets: int) -> DataFrame:
             .where(~F.col("place.copy")).drop("place", "bucket"))
 
 
-def fingerprints(docs: DataFrame, k: int = 8, s: int = 2) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = 6, s: int = 2) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next) per document row.
 
