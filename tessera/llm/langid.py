@@ -140,7 +140,7 @@ class Model:
                 best = int(b.argmin())
                 langs[i] = self.langs[best]
                 scores[i] = float(1.0 / np.exp2(-(b - b[best]) / 8).sum())
-                entropy[i] = float(b[best] / len(known[i]))
+                entropy[i] = float((b[best] - self.bits[best]) / len(known[i]))  # the last phrase is unfinished
         return langs, scores, entropy
 
 
