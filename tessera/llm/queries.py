@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import forest, langid, licenses, packing, passages, simhash, syncmers, warc, wrapper
+from tessera.llm import bpe, forest, langid, licenses, packing, passages, simhash, syncmers, warc, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -118,3 +118,9 @@ def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"]).cast("long").alias("repeated_words"),
                         F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["begin"].cast("string"), s["end"].cast("string"))), ",")
                         .alias("spans"))
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                 public_tokenizers.PATTERN)
