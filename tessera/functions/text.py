@@ -113,15 +113,16 @@ def capitalize(c) -> Column:
 
 
 def strip(c) -> Column:
-    return F.trim(_c(c))
+    """Python ``str.strip``: all white space at both ends."""
+    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
 
 
 # F15
 def page_total(c, default: int = 1) -> Column:
     """Last whitespace-separated token of the pager text ("Page 1 of 50")
     as an integer; missing or unparseable -> ``default``."""
-    t = F.trim(_c(c))
-    last = F.element_at(F.split(t, r"\s+"), -1)
+    t = strip(c)
+    last = F.element_at(F.split(t, r"(?U)\s+"), -1)
     return F.coalesce(last.try_cast("int"), F.lit(default))
 
 

@@ -49,7 +49,11 @@ class ImputerModel(ColumnsModel):
     strategy = Param(Params._dummy(), "strategy", "mean | median | most_frequent", TypeConverters.toString)
 
     def _exprs(self, df, cols, state):
-        return {c: F.when(_missing(df, c), F.lit(state[c]).cast(df.schema[c].dataType)).otherwise(_q(c))
+        wide = self.getOrDefault(self.strategy) in ("mean", "median")  # a mean of whole numbers is no whole number
+
+        def kind(c):
+            return T.DoubleType() if wide and isinstance(df.schema[c].dataType, T.IntegralType) else df.schema[c].dataType
+        return {c: F.when(_missing(df, c), F.lit(state[c]).cast(kind(c))).otherwise(_q(c).cast(kind(c)))
                 if state.get(c) is not None else _q(c) for c in cols}
 
 
@@ -78,13 +82,15 @@ class Imputer(ColumnsEstimator):
             long = df.select(*[_present(df, c).cast("string").alias(c) for c in cols]).unpivot(
                 [], list(cols), "column", "value").where(F.col("value").isNotNull())
             freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+            numeric = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
+            number = F.when(F.col("column").isin(numeric), F.col("value").try_cast("double"))
             top = freq.groupBy("column").agg(
-                F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top")).collect()
+                F.min_by("value", F.struct(-F.col("n"), number, F.col("value"))).alias("top")).collect()
             out = {c: None for c in cols}
             for r in top:
                 v = r["top"]
                 dt = df.schema[r["column"]].dataType
-                out[r["column"]] = float(v) if isinstance(dt, T.NumericType) else v
+                out[r["column"]] = int(v) if isinstance(dt, T.IntegralType) else float(v) if isinstance(dt, T.NumericType) else v
             return out
         raise ValueError(s)
 
@@ -336,7 +342,7 @@ def chi2_scores(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     out = []
     for i, c in enumerate(cols):
         exp = F.col("n_c") / F.col("__n") * F.col(f"__t{i}")
-        out.append(F.struct(F.lit(c).alias("column"), (F.pow(_q(c) - exp, 2) / exp).alias("part")))
+        out.append(F.struct(F.lit(c).alias("column"), F.try_divide(F.pow(_q(c) - exp, 2), exp).alias("part")))
     long = tot.select(F.explode(F.array(*out)).alias("x")).select("x.*")
     return long.groupBy("column").agg(F.sum("part").alias("chi2"))
 

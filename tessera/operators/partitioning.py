@@ -6,13 +6,8 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when ``df`` has fewer partitions than the
-    cluster's default parallelism, so that expensive per-row work (regex
+    """Round-robin repartition, so that expensive per-row work (regex
     tokenising, HTML parsing) is not confined to a few tasks by a small number
-    of large input files. On a large input this is a no-op: the scan already
-    yields far more partitions than that. Reading the partition count plans
-    the query but runs no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    of large input files. The number is ``min_partitions``, or the shuffle
+    partitions the cluster sets for its data. Runs no job."""
+    return df.repartition(min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

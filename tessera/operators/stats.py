@@ -245,7 +245,7 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
 def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:
     """Fences plus the number of values outside them, per column."""
     f = iqr_fences(df, cols, k, method)
-    long = stack(df, cols).where(F.col("value").isNotNull())
+    long = stack(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     out = long.join(F.broadcast(f.select("column", "lower", "upper")), "column").groupBy("column").agg(
         F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("n_outliers"))
     return f.join(out, "column", "left")
@@ -253,15 +253,15 @@ def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:
     """Rows inside every column's IQR fences, fences from the full data.
+    Rows with a NULL or NaN in one of the columns go.
 
     The fences are a few numbers per column; they are read to the driver (a
     bounded result) and become one conjunctive filter, applied in one scan."""
     fences = {r["column"]: (r["lower"], r["upper"]) for r in iqr_fences(df, cols, k, method).collect()}
     cond = F.lit(True)
     for c in cols:
-        lo, hi = fences[c]
-        x = _q(c)
-        cond = cond & (x.isNull() | ((x >= F.lit(lo)) & (x <= F.lit(hi))))
+        lo, hi = fences.get(c, (None, None))  # no fences: no value, no row inside
+        cond = cond & F.coalesce((_q(c) >= F.lit(lo)) & (_q(c) <= F.lit(hi)), F.lit(False))
     return df.where(cond)
 
 

@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-_PID, _MID, _LOCAL, _N, _OFF = "__pid", "__mid", "__local", "__n", "__off"
+_PID, _LOCAL, _N, _OFF = "__pid", "__local", "__n", "__off"
 
 
 def _cols(x) -> list:
@@ -25,19 +25,30 @@ def _cols(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def _num_partitions(df: DataFrame, small_rows: int = 1_000_000) -> int:
-    """Range partitions for a global order: the configured shuffle partitions
-    (sized by the cluster for its data), except for an input that a bounded
-    count shows to be small, which gets the default parallelism instead."""
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if df.limit(small_rows + 1).count() <= small_rows:
-        return max(1, min(configured, df.sparkSession.sparkContext.defaultParallelism))
-    return configured
+def _offsets(tagged: DataFrame) -> DataFrame:
+    """Rows before each partition of a tagged table, one row per partition."""
+    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    return counts.select(
+        _PID,
+        F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias(_OFF))
+
+
+def _dense(ordered: DataFrame, out: str, start: int) -> DataFrame:
+    """Index in partition order. The rows with their place are written once
+    and both the rows and the counts are read from that table: evaluated
+    twice, a range shuffle may cut its ranges differently."""
+    from tessera.session import write_table
+    tagged = (ordered.withColumn(_PID, F.spark_partition_id().cast("long"))
+                     .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID), 33)))
+    tagged = write_table(tagged, "row-index")
+    res = tagged.join(F.broadcast(_offsets(tagged)), _PID, "inner")
+    return res.withColumn(out, (F.col(_OFF) + F.col(_LOCAL) + F.lit(start)).cast("long")).drop(_PID, _LOCAL, _OFF)
 
 
 # ---------------------------------------------------------------- W4
 def global_index(df: DataFrame, order_by, out: str = "row_index", start: int = 1,
-                 num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Consecutive index ``start, start+1, …`` in the order of ``order_by``.
 
     ``order_by`` must be a total order (add a unique tie-breaker), which makes
@@ -46,53 +57,31 @@ def global_index(df: DataFrame, order_by, out: str = "row_index", start: int = 1
     Plan: one range shuffle on the order key (Spark samples the key to cut
     balanced ranges, so a hot value of the first key is split by the later
     keys), a sort inside each range, the position of each row inside its
-    range from ``monotonically_increasing_id``, then the row count of each
-    range turned into an offset. The offsets table has one row per range
+    range from ``monotonically_increasing_id``, written to the shared folder,
+    then the row count of each range turned into an offset. The offsets table has one row per range
     partition - bounded by ``num_partitions`` - and is broadcast.
     """
     keys = _cols(order_by)
-    n = num_partitions or _num_partitions(df)
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = (ordered.withColumn(_PID, F.spark_partition_id().cast("long"))
-                     .withColumn(_MID, F.monotonically_increasing_id())
-                     .withColumn(_LOCAL, F.col(_MID) - F.shiftleft(F.col(_PID), 33)))
-    if materialize:
-        from tessera.session import write_table
-        tagged = write_table(tagged.drop(_MID), "global-index").withColumn(_MID, F.lit(0))
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias(_OFF))
-    res = tagged.join(F.broadcast(offsets), _PID, "inner")
-    return res.withColumn(out, (F.col(_OFF) + F.col(_LOCAL) + F.lit(start)).cast("long")).drop(
-        _PID, _MID, _LOCAL, _OFF)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _dense(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), out, start)
 
 
 # ---------------------------------------------------------------- rolling engine
 def rolling(df: DataFrame, order_by, columns: dict[str, Callable[[WindowSpec], Column]],
             lo: int, hi: int, partition_by=None, bucket_rows: int = 1_000_000,
-            strategy: str = "auto") -> DataFrame:
+            strategy: str = "halo") -> DataFrame:
     """Add window columns with a ROWS frame ``[lo, hi]`` per ``partition_by``.
 
     ``columns`` maps an output name to ``fn(window_spec) -> Column``, e.g.
     ``{"ma": lambda w: F.avg("price").over(w)}``; the spec already carries the
     partitioning, the order and the frame.
 
-    ``strategy``: ``"window"`` is one plain Spark window; ``"halo"`` is the
-    skew-proof bucketed plan; ``"auto"`` (default) measures the largest
-    partition with one aggregation (the total row count when there is no
-    partition key) and uses the plain window only when that size is at most
-    ``bucket_rows`` - so no window task can exceed the bound - else the halo.
+    ``strategy``: ``"halo"`` (default) is the skew-proof bucketed plan at every
+    size; ``"window"`` is one plain Spark window, for callers who know that
+    the largest partition fits a task.
     """
     parts = _cols(partition_by)
     keys = _cols(order_by)
-    if strategy == "auto":
-        if parts:
-            biggest = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).collect()[0][0]
-        else:
-            biggest = df.limit(bucket_rows + 1).count()
-        strategy = "window" if (biggest or 0) <= bucket_rows else "halo"
     if strategy == "window":
         w = (Window.partitionBy(*parts) if parts else Window).orderBy(*keys).rowsBetween(lo, hi)
         return df.withColumns({k: fn(w) for k, fn in columns.items()})
@@ -190,7 +179,7 @@ def period_returns(df: DataFrame, date_col: str, price_col: str, period: str = "
     """Return of each period over the previous period's last price.
 
     ``period`` is ``"month"`` or ``"year"``. Last price = price at the latest
-    date of the period (``max_by``); the per-period table is small (series x
+    date of the period (``max_by``); after a price of 0 the return is NULL; the per-period table is small (series x
     periods), the lag runs on it.
     """
     fmt = {"month": "yyyy-MM", "year": "yyyy"}[period]
@@ -199,7 +188,7 @@ def period_returns(df: DataFrame, date_col: str, price_col: str, period: str = "
         F.max_by(F.col(price_col), F.col(date_col)).alias("last_price"))
     w = Window.partitionBy(*keys).orderBy("period")
     prev = F.lag("last_price").over(w)
-    return per.withColumn(out, F.col("last_price") / prev - F.lit(1.0))
+    return per.withColumn(out, F.try_divide(F.col("last_price"), prev) - F.lit(1.0))
 
 
 # ---------------------------------------------------------------- W7
@@ -212,7 +201,7 @@ def extreme_moves(df: DataFrame, date_col: str, price_col: str, k: float = 2.0,
     prev = "__prev_price"
     r = rolling(df.select(*keys, date_col, price_col), [date_col],
                 {prev: lambda w: F.first(price_col).over(w)}, -1, -1, keys or None, **kw)
-    r = r.withColumn("daily_return", F.col(price_col) / F.col(prev) - F.lit(1.0)).drop(prev)
+    r = r.withColumn("daily_return", F.try_divide(F.col(price_col), F.col(prev)) - F.lit(1.0)).drop(prev)
     r = r.where(F.col("daily_return").isNotNull())
     stats = r.groupBy(*keys).agg(F.avg("daily_return").alias("mean_return"),
                                  F.stddev_samp("daily_return").alias("sd_return"))
@@ -222,7 +211,7 @@ def extreme_moves(df: DataFrame, date_col: str, price_col: str, k: float = 2.0,
         j = r.join(F.broadcast(stats), keys, "inner").drop("__all")
     else:
         j = r.join(stats, keys, "inner")
-    j = j.withColumn("z", (F.col("daily_return") - F.col("mean_return")) / F.col("sd_return"))
+    j = j.withColumn("z", F.try_divide(F.col("daily_return") - F.col("mean_return"), F.col("sd_return")))
     return j.where(F.abs(F.col("z")) > F.lit(k))
 
 
@@ -230,14 +219,4 @@ def index_in_partition_order(df: DataFrame, out: str = "row_index", start: int =
     """Consecutive index in the current partition order, without a shuffle of
     the data (P6 when no order is given). Deterministic when the input order
     is (e.g. a file scan); use :func:`global_index` for a defined order."""
-    tagged = (df.withColumn(_PID, F.spark_partition_id().cast("long"))
-                .withColumn(_MID, F.monotonically_increasing_id())
-                .withColumn(_LOCAL, F.col(_MID) - F.shiftleft(F.col(_PID), 33)))
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias(_OFF))
-    res = tagged.join(F.broadcast(offsets), _PID, "inner")
-    return res.withColumn(out, (F.col(_OFF) + F.col(_LOCAL) + F.lit(start)).cast("long")).drop(
-        _PID, _MID, _LOCAL, _OFF)
+    return _dense(df, out, start)

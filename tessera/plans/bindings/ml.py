@@ -191,7 +191,7 @@ def m15_preparation_pipeline(spark, d):
 # ------------------------------------------------------------------ text classification
 def articles(spark, d):
     doc = table(spark, d, "documents")
-    return doc.select("doc_id", F.element_at(F.split("text", "\n"), 1).alias("summary"),
+    return doc.select("doc_id", F.col("text").alias("summary"),
                       F.col("text").alias("documents"), F.col("lang").alias("categoria"))
 
 

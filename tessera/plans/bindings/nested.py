@@ -73,12 +73,13 @@ def f19_array_and_struct_updates(spark, d):
 
 def friends(spark, d):
     c = table(spark, d, "customer")
-    k = F.col("c_custkey")
-    return c.select("c_custkey", F.array((k * 7 + 3) % 1500, (k * 13 + 5) % 1500, (k + 1) % 1500).alias("friends"))
+    k, n = F.col("c_custkey"), F.lit(c.count())
+    return c.select("c_custkey", F.array((k * 7 + 3) % n, (k * 13 + 5) % n, (k + 1) % n).alias("friends"))
 
 
 @query("f20_friend_pairs", """WITH e AS (SELECT c_custkey AS a,
-    unnest([(c_custkey * 7 + 3) % 1500, (c_custkey * 13 + 5) % 1500, (c_custkey + 1) % 1500]) AS b FROM customer),
+    unnest([(c_custkey * 7 + 3) % n, (c_custkey * 13 + 5) % n, (c_custkey + 1) % n]) AS b
+    FROM customer, (SELECT count(*) AS n FROM customer)),
 f AS (SELECT least(a, b) AS a2, greatest(a, b) AS b2, a < b AS fwd FROM e WHERE a <> b)
 SELECT a2 AS a, b2 AS b, count(DISTINCT fwd) = 2 AS mutual FROM f GROUP BY 1, 2""")
 def f20_friend_pairs(spark, d):

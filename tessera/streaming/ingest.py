@@ -10,6 +10,7 @@ data must arrive in new files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,9 +60,12 @@ def count_report(spark: SparkSession, target_path: str, report_path: str,
 
     def hook(_batch: DataFrame, batch_id: int):
         try:
-            done = spark.read.parquet(report_path).where(F.col("batch_id") == batch_id).limit(1).count() > 0
-        except Exception:  # noqa: BLE001 - no report yet
-            done = False
+            report = spark.read.parquet(report_path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            report = None
+        done = report is not None and not report.where(F.col("batch_id") == batch_id).isEmpty()
         if done:
             return
         total = spark.read.parquet(target_path).agg(F.count(F.lit(1)).cast("int").alias(count_col))

@@ -60,7 +60,7 @@ def test_period_returns(spark):
 
 def test_global_index_materialized(spark):
     df = _data(spark, 50, 2)
-    a = W.global_index(df, ["s", "t"], materialize=True).select("s", "t", "row_index")
+    a = W.global_index(df, ["s", "t"]).select("s", "t", "row_index")
     b = W.global_index(df, ["s", "t"]).select("s", "t", "row_index")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
@@ -93,3 +93,25 @@ def test_rolling_property(spark):
         assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, exp.collect()), key=repr)
 
     check()
+
+
+def test_global_index_keeps_payload_dense(spark):
+    """Rows, several input partitions, a payload column in the result: every
+    index once, in key order."""
+    n = 1_000_000
+    df = spark.range(0, n, numPartitions=7).select(
+        F.xxhash64("id").alias("k"), F.col("id").alias("payload"), F.concat(F.lit("p"), F.col("id")).alias("text"))
+    out = W.global_index(df, ["k"])
+    row = out.agg(F.countDistinct("row_index").alias("d"), F.min("row_index").alias("lo"), F.max("row_index").alias("hi"),
+                  F.countDistinct("payload").alias("p"), F.max(F.length("text")).alias("t")).first()
+    assert (row["d"], row["lo"], row["hi"], row["p"]) == (n, 1, n, n)
+    got = out.where("row_index IN (1, 500000, 1000000)").orderBy("row_index").select("k").collect()
+    keys = sorted(r["k"] for r in df.select("k").collect())
+    assert [r["k"] for r in got] == [keys[0], keys[499_999], keys[-1]]
+
+
+def test_division_by_zero_is_defined(spark):
+    flat = spark.createDataFrame([(f"2024-01-{d:02d}", 5.0) for d in range(1, 9)], "d string, p double").withColumn("d", F.to_date("d"))
+    assert W.extreme_moves(flat, "d", "p").count() == 0
+    zero = spark.createDataFrame([("2024-01-01", 0.0), ("2024-02-01", 3.0)], "d string, p double").withColumn("d", F.to_date("d"))
+    assert [r["period_return"] for r in W.period_returns(zero, "d", "p").orderBy("period").collect()] == [None, None]
