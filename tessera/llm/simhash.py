@@ -48,18 +48,19 @@ def text_fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(begin)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, one row per row.
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, with_text: bool = False) -> DataFrame:
+    """(doc_id, fp) and, if asked for, text: the fingerprint as a signed long,
+    one row per row.
 
     Words are runs without ASCII white space, A-Z lower-cased. Null and empty
     texts have fingerprint 0.
     """
-    schema = struct(doc_id="long", fp="long")
+    schema = struct(doc_id="long", fp="long", **({"text": "string"} if with_text else {}))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([text_fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), batch.column(1)][:len(schema)], names=schema.names)
 
     return required(docs, {"doc_id": "long", "text": "string"}).mapInArrow(scan, schema)
 
@@ -223,6 +224,19 @@ def links(distinct: DataFrame, distance: int = 4, heavy_share: int = 1024, round
             .select("fp", F.coalesce("component", "label").alias("component")))
 
 
+def groups(docs: DataFrame, shingle: int = 4, distance: int = 4, seed: int = 42) -> DataFrame:
+    """(doc_id, fp, component, component_id) per document row: the fingerprint,
+    a fingerprint that names its group, and the smallest doc_id of the group
+    (null where no row of it has an id)."""
+    prints = write_table(fingerprints(docs, shingle, seed), "fingerprints")
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    first = write_table(first, "distinct")
+    component = write_table(links(first.select("fp"), distance).join(first, "fp"), "components")
+    smallest = component.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = component.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) per document row.
 
@@ -232,11 +246,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, seed:
     it has an id). Null, empty and wordless texts have fingerprint zero and
     are linked like any other. Repeated rows stay. An empty table gives none.
     """
-    prints = write_table(fingerprints(docs, shingle, seed), "fingerprints")
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    first = write_table(first, "distinct")
-    component = write_table(links(first.select("fp"), distance).join(first, "fp"), "components")
-    smallest = component.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = component.join(smallest, "component").select("fp", "component_id")
-    return (prints.join(named, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return groups(docs, shingle, distance, seed).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -200,3 +200,15 @@ def test_pipeline_stages(spark, docs, empty):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == before.columns
         assert out.columns[:2] == ["doc_id", "piece"]
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    base = words(8, 300)
+    a, b, c = " ".join(base), " ".join([*base[:-1], "other"]), " ".join(words(9, 80))
+    near = (simhash.text_fingerprint(a) ^ simhash.text_fingerprint(b)).bit_count() <= 4
+    rows = [(5, a, 1), (3, a, 1), (3, a, 1), (None, a, 1), (None, c, 1), (None, c, 1), (None, None, 1), (None, "", 1), (9, words(10, 1)[0], 1)]
+    kept = corpus_pipeline.stages.without_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, fp int"), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == sorted([(3, a), (9, words(10, 1)[0]), (0, c), (0, "")])
+    if near:
+        rows = [(None, a, 1), (None, b, 1)]
+        assert corpus_pipeline.stages.without_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, fp int"), "").count() == 1
