@@ -22,6 +22,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Setting that removes a query's shuffle files when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -78,8 +82,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and return
     a DataFrame reading it back: a lineage cut that survives executor loss
-    and is read as columnar files (cheaper than an RDD checkpoint)."""
+    and is read as columnar files (cheaper than an RDD checkpoint). The
+    shuffle files of the write go when it ends: the table replaces them."""
     import uuid
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)
