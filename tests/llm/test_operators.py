@@ -115,6 +115,33 @@ def test_compact_windows_equal_brute_force():
     assert got == want
 
 
+def test_passages_of_a_repeated_line(spark):
+    line, single = " ".join(words(11, 9)), " ".join(["on"] * 60)
+    texts = {1: " ".join(words(12, 40)) + " " + " ".join([line] * 30) + " " + " ".join(words(13, 30)),
+             2: " ".join(words(14, 25)) + " " + " ".join([line] * 50) + " " + " ".join(words(15, 60)),
+             3: " ".join(words(16, 20)) + " on on on on on on x " + single + " " + " ".join(words(17, 20)),
+             4: " ".join(words(18, 33)) + " " + single + " " + " ".join(words(19, 20))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    assert [rows[k]["class_id"] for k in texts] == [1, 1, 3, 3]
+    assert [(s["begin"], s["end"]) for s in rows[2]["spans"]] == [(25, 25 + 9 * 50)]
+    assert [(s["begin"], s["end"]) for s in rows[4]["spans"]] == [(33, 93)]
+    found = passages.windows(docs, 46, 6)
+    assert found.groupBy("key", "doc").count().agg({"count": "max"}).first()[0] <= 2
+
+
+def test_joined_windows_equal_brute_force():
+    rng = np.random.default_rng(8)
+    h = rng.integers(0, 6, 400).astype(np.uint64) << np.uint64(50)
+    c, left, right = passages.compact_windows(h, np.ones(400, bool), 5)
+    want = {}
+    for x, lo, hi in zip(c.tolist(), left.tolist(), right.tolist()):
+        first, last, low = want.get((int(h[x]), hi), (x, x, lo))
+        want[int(h[x]), hi] = (min(first, x), max(last, x), min(low, lo))
+    got = {(int(v), r): (f, e, lo) for v, f, e, lo, r in zip(*(x.tolist() for x in passages.runs_joined(h[c], c, left, right)))}
+    assert got == want
+
+
 def test_byte_bpe_round_trip(docs, empty):
     import tiktoken
     path = P.path("byte_bpe_multi_50k.tiktoken")
