@@ -9,8 +9,12 @@ from tessera.session import write_table
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """Each edge (u, v) with ``least``: the smallest node among u and its v."""
-    return edges.join(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("least")), "u")
+    """Each edge (u, v) with ``least``: the smallest node among u and its v.
+
+    The smallest nodes are written first: the join then reads two tables, and
+    only between plain shuffles can the links of one node be split over tasks."""
+    least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("least"))
+    return edges.join(write_table(least, "least"), "u")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -22,9 +26,9 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
     for every node on a link between different nodes.
 
     Alternates large-star and small-star steps until the links no longer
-    change. A node's smallest neighbour is a partial aggregate and the join
-    back to its links may be split, so a node with very many links is no
-    single task. Each round is written to the shared folder.
+    change. A node's smallest neighbour is a partial aggregate, and the join
+    back to its links reads written tables, so that a skewed join splits the
+    links of one node and a node with very many links is no single task.
     """
     edges = (links.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v")
              .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -32,7 +36,7 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
+        large = write_table(_least(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct(), "links")
         small = _least(large)
         small = (small.select(F.col("v").alias("u"), F.col("least").alias("v"))
                  .union(small.select("u", F.col("least").alias("v"))).where("u <> v").distinct())
