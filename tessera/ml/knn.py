@@ -80,7 +80,7 @@ def knn_impute(df: DataFrame, donors_path: str, cols, id_col: str, k: int, means
     B = max(1, math.ceil(n_d / block_rows))
     r_ex = recv.withColumn("__g", F.pmod(F.xxhash64("rid"), F.lit(G))).withColumn(
         "__b", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
-    d_ex = donors.withColumn("__b", F.pmod(F.xxhash64(*cols), F.lit(B))).withColumn(
+    d_ex = donors.withColumn("__b", F.pmod(F.monotonically_increasing_id(), F.lit(B))).withColumn(
         "__g", F.explode(F.sequence(F.lit(0), F.lit(G - 1))))
     cand = r_ex.groupBy("__g", "__b").cogroup(d_ex.groupBy("__g", "__b")).applyInPandas(
         _candidates(cols, k), "rid long, column string, dist double, value double")

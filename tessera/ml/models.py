@@ -79,13 +79,26 @@ def assign_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 0,
 
 
 # ------------------------------------------------------------------ M18-M20, M5, M22
+VOCABULARY_LIMIT = 1 << 24
+
+
+def whole_vocabulary(model, limit: int = VOCABULARY_LIMIT) -> int:
+    """Number of terms of a fitted pipeline's term counter. Terms beyond the
+    counter's limit would vanish, so a full vocabulary is an error."""
+    n = max(len(s.vocabulary) for s in model.stages if hasattr(s, "vocabulary"))
+    if n >= limit:
+        raise ValueError(f"the vocabulary reached its limit of {limit} terms; raise vocabulary_limit")
+    return n
+
+
 def text_pipeline(inputCol: str, labelCol: str = "target", model=None,
-                  stop_words: Sequence[str] = ENGLISH) -> Pipeline:
-    """Tokenise, drop stop words, count terms, scale to unit sd, classify."""
+                  stop_words: Sequence[str] = ENGLISH, vocabulary_limit: int = VOCABULARY_LIMIT) -> Pipeline:
+    """Tokenise, drop stop words, count terms, scale to unit sd, classify.
+    :func:`whole_vocabulary` fails on a fitted pipeline that met the limit."""
     return Pipeline(stages=[
         Tokenizer(inputCol=inputCol, outputCol="tokens"),
         StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens", stopWords=list(stop_words)),
-        CountVectorizer(inputCol="filtered_tokens", outputCol="counter_features"),
+        CountVectorizer(inputCol="filtered_tokens", outputCol="counter_features", vocabSize=vocabulary_limit),
         StandardScaler(inputCol="counter_features", outputCol="scaled_features"),
         model or LogisticRegression(featuresCol="scaled_features", labelCol=labelCol),
     ])
@@ -123,6 +136,7 @@ def compare_text_fields(train: DataFrame, test: DataFrame, text_cols: Sequence[s
     out = None
     for col in text_cols:
         model = text_pipeline(col, label).fit(train)
+        whole_vocabulary(model)
         for split, frame in (("train", train), ("test", test)):
             m = classification_metrics(model.transform(frame), label).select(
                 F.lit(col).alias("field"), F.lit(split).alias("split"), "accuracy", "f1")
@@ -167,9 +181,9 @@ def linear_regression(reg_param: float = 0.0, elastic_net: float = 0.0, solver:
 
 # ------------------------------------------------------------------ M26
 def r2_score(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> Column:
-    """Aggregate expression ``1 - SSE/SST``."""
-    y, p = F.col(label), F.col(prediction)
-    return F.lit(1.0) - F.sum((y - p) ** 2) / (F.sum(y * y) - F.sum(y) ** 2 / F.count(y))
+    """Aggregate expression ``1 - SSE/SST`` (centred sums; NULL for a constant label)."""
+    y, p = F.col(label).cast("double"), F.col(prediction)
+    return F.lit(1.0) - F.try_divide(F.sum((y - p) ** 2), F.var_pop(y) * F.count(y))
 
 
 def gap(train_r2, test_r2):
@@ -186,20 +200,14 @@ def _train_stats(frame: DataFrame, features: Sequence[str], label: str, masks: d
         aggs.append(F.count_if(m).alias(f"n_{t}"))
         for j, c in enumerate(list(features) + [label]):
             x = F.when(m, F.col(c).cast("double"))
-            aggs += [F.sum(x).alias(f"s_{t}_{j}"), F.sum(x * x).alias(f"q_{t}_{j}")]
+            aggs += [F.avg(x).alias(f"m_{t}_{j}"), F.stddev_pop(x).alias(f"d_{t}_{j}")]
     row = frame.agg(*aggs).collect()[0]
     out = {}
     for f in masks:
         t = _tag(f)
-        n = row[f"n_{t}"] or 0
-        mean, sd = [], []
-        for j in range(len(features) + 1):
-            s1, s2 = row[f"s_{t}_{j}"] or 0.0, row[f"q_{t}_{j}"] or 0.0
-            m = s1 / n if n else 0.0
-            v = max(s2 / n - m * m, 0.0) if n else 0.0
-            mean.append(m)
-            sd.append(v ** 0.5)
-        out[f] = {"n": n, "mean": mean[:-1], "sd": [x if x > 0 else 1.0 for x in sd[:-1]], "sd_y": sd[-1]}
+        mean = [row[f"m_{t}_{j}"] or 0.0 for j in range(len(features) + 1)]
+        sd = [row[f"d_{t}_{j}"] or 0.0 for j in range(len(features) + 1)]
+        out[f] = {"n": row[f"n_{t}"] or 0, "mean": mean[:-1], "sd": [x if x > 0 else 1.0 for x in sd[:-1]], "sd_y": sd[-1]}
     return out
 
 
@@ -222,6 +230,13 @@ def _prepared(frame: DataFrame, features: Sequence[str], label: str, st: dict, t
     return out
 
 
+def complete_rows(frame: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows with a value in every column: what statistics, fits and scores use."""
+    for c in cols:
+        frame = frame.where(F.col(c).isNotNull())
+    return frame
+
+
 def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks: dict, test_masks: dict,
               estimator_factory=None, degree: int = 1, stats: dict | None = None,
               parallelism: int = 4) -> list[tuple]:
@@ -233,9 +248,7 @@ def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks
     the Gram matrix in a single pass), one for all R^2 sums at once.
     """
     factory = estimator_factory or ols_factory
-    frame = frame.where(F.col(label).isNotNull())
-    for c in features:
-        frame = frame.where(F.col(c).isNotNull())
+    frame = complete_rows(frame, [label, *features])
     st = stats or _train_stats(frame, features, label, train_masks)
     def fit(tag):
         train = _prepared(frame.where(train_masks[tag]), features, label, st[tag], tag, degree)
@@ -256,8 +269,7 @@ def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks
         for part, m in (("tr", train_masks[tag]), ("te", test_masks[tag])):
             p, t = F.col(f"__p_{_tag(tag)}"), _tag(tag)
             aggs += [F.sum(F.when(m, (y - p) * (y - p))).alias(f"e_{t}_{part}"),
-                     F.sum(F.when(m, y)).alias(f"s_{t}_{part}"), F.sum(F.when(m, y * y)).alias(f"q_{t}_{part}"),
-                     F.count_if(m).alias(f"n_{t}_{part}")]
+                     F.var_pop(F.when(m, y)).alias(f"v_{t}_{part}"), F.count_if(m).alias(f"n_{t}_{part}")]
     row = scored.agg(*aggs).collect()[0]
 
     def r2(tag, part):
@@ -265,7 +277,7 @@ def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks
         n = row[f"n_{t}_{part}"]
         if not n:
             return None
-        sst = row[f"q_{t}_{part}"] - row[f"s_{t}_{part}"] ** 2 / n
+        sst = row[f"v_{t}_{part}"] * n
         return 1.0 - row[f"e_{t}_{part}"] / sst if sst else None
     return [(tag, r2(tag, "tr"), r2(tag, "te"), models[tag]) for tag in models]
 
@@ -361,8 +373,7 @@ def regularization_sweep(df: DataFrame, features: Sequence[str], label: str, key
     tr, te = {i: fold != i for i in range(k)}, {i: fold == i for i in range(k)}
     rows, best, best_gap = [], None, None
     try:
-        clean = folded.where(F.col(label).isNotNull())
-        stats = _train_stats(clean, features, label, tr)
+        stats = _train_stats(complete_rows(folded, [label, *features]), features, label, tr)
         for name, factory in candidates:
             res = run_folds(folded, features, label, tr, te, factory, stats=stats)
             mt = sum(r[1] for r in res) / k

@@ -156,14 +156,17 @@ def _yeo_johnson_col(x: Column, lam: Column) -> Column:
 
 
 def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -10.0, hi: float = 10.0,
-                    points: int = 21, passes: int = 6) -> dict:
+                    points: int = 21, resolution: float = 1e-5) -> dict:
     """Maximum-likelihood lambda per column by a zooming grid.
 
     Log-likelihood (as scikit-learn): ``-n/2 log var(y_lambda) + (lambda-1)
     sum sign(x) log1p|x|``. Each pass stacks the columns, pairs every value
     with its column's lambda grid (``explode`` of a small array, no join) and
-    sums y and y^2 per (column, lambda) with a partial aggregation; the grid
-    then narrows 10x around the best lambda. Six passes reach ~1e-5.
+    takes the variance per (column, lambda) with a partial aggregation.
+    ``lo`` and ``hi`` only begin the search: while the best lambda is an end
+    of the grid the grid moves outward and grows fourfold, then it narrows 10x
+    a pass around the best until its step is ``resolution`` (relative to a
+    lambda beyond 1).
     """
     cols = list(cols)
     if not cols:
@@ -173,28 +176,30 @@ def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -10.0, hi: f
     try:
         base = {r["column"]: (r["n"], r["l"]) for r in long.groupBy("column").agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("l")).collect()}
-        grids = {c: np.linspace(lo, hi, points) for c in cols}
-        best = {c: 1.0 for c in cols}
-        for _ in range(passes):
-            grid_map = F.create_map(*[e for c in cols for e in
-                                      (F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
-            ex = long.select("column", "x", F.explode(F.element_at(grid_map, F.col("column"))).alias("lam"))
-            y = _yeo_johnson_col(F.col("x"), F.col("lam"))
-            sums = ex.groupBy("column", "lam").agg(F.sum(y).alias("s1"), F.sum(y * y).alias("s2")).collect()
-            scores = {c: [] for c in cols}
-            for r in sums:
-                n, lsum = base.get(r["column"], (0, 0.0))
-                if not n or r["s1"] is None:
+        grids = {c: np.linspace(lo, hi, points) for c in cols if c in base}
+        best = {c: (-math.inf, 1.0) for c in cols}
+        while grids:
+            grid_map = F.create_map(*[e for c, g in grids.items() for e in (F.lit(c), F.array(*[F.lit(float(v)) for v in g]))])
+            ex = long.where(F.col("column").isin(*grids)).select(
+                "column", "x", F.posexplode(F.element_at(grid_map, F.col("column"))).alias("i", "lam"))
+            found = ex.groupBy("column", "i", "lam").agg(F.var_pop(_yeo_johnson_col(F.col("x"), F.col("lam"))).alias("var")).collect()
+            rest = {}
+            for c, grid in grids.items():
+                n, lsum = base[c]
+                scores = [(-n / 2 * math.log(r["var"]) + (r["lam"] - 1) * lsum, r["lam"], r["i"]) for r in found
+                          if r["column"] == c and r["var"] is not None and 0 < r["var"] < math.inf]
+                if not scores:  # a constant column: any lambda is as good
                     continue
-                var = r["s2"] / n - (r["s1"] / n) ** 2
-                if var > 0 and math.isfinite(var):
-                    scores[r["column"]].append((-n / 2 * math.log(var) + (r["lam"] - 1) * lsum, r["lam"]))
-            for c in cols:
-                if scores[c]:
-                    best[c] = float(max(scores[c])[1])
-                step = grids[c][1] - grids[c][0]
-                grids[c] = np.linspace(best[c] - step, best[c] + step, points)
-        return best
+                top, step = max(scores), float(grid[1] - grid[0])
+                better = top[0] > best[c][0]
+                best[c] = max(best[c], top[:2])
+                if better and top[2] in (0, points - 1):
+                    far = top[1] + (4 if top[2] else -4) * (grid[-1] - grid[0])
+                    rest[c] = np.linspace(*sorted((top[1], far)), points)
+                elif step > resolution * max(1.0, abs(best[c][1])) * 1.5:
+                    rest[c] = np.linspace(best[c][1] - step, best[c][1] + step, points)
+            grids = rest
+        return {c: float(lam) for c, (_, lam) in best.items()}
     finally:
         long.unpersist()
 

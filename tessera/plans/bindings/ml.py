@@ -347,9 +347,9 @@ def m18_m20_tokens_and_counts(spark, d):
     doc = articles(spark, d)
     pipe = Pipeline(stages=[Tokenizer(inputCol="summary", outputCol="tokens"),
                             StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=list(ENGLISH)),
-                            CountVectorizer(inputCol="filtered", outputCol="counts", vocabSize=1 << 18)])
+                            CountVectorizer(inputCol="filtered", outputCol="counts", vocabSize=MD.VOCABULARY_LIMIT)])
     model = pipe.fit(doc)
-    vocab = len(model.stages[-1].vocabulary)
+    vocab = MD.whole_vocabulary(model)
     out = model.transform(doc)
     return out.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("filtered").alias("n_kept"),
                       F.size(F.array_distinct("filtered")).alias("n_distinct_terms"),

@@ -223,3 +223,55 @@ def test_lasso_and_elastic_net_mapping(spark):
         model = factory(n, yv.std()).fit(tr)
         ref = _cd_elastic_net(Xs, yv, alpha, r)
         assert np.allclose(model.coefficients.toArray(), ref, atol=2e-4), (alpha, r, model.coefficients, ref)
+
+
+def test_yeo_johnson_lambda_far_outside_the_first_grid(spark):
+    import numpy as np
+
+    from tessera.ml.prep import fit_yeo_johnson
+    x = np.random.default_rng(4).gamma(2, 0.002, 4000)
+    lam = fit_yeo_johnson(spark.createDataFrame([(float(v),) for v in x], "x double"), ["x"])["x"]
+
+    def likelihood(k):
+        return -len(x) / 2 * np.log(np.var(((x + 1) ** k - 1) / k)) + (k - 1) * np.log1p(x).sum()
+
+    grid = np.linspace(-400, -50, 3501)
+    best = max(grid, key=likelihood)
+    assert abs(lam - best) < 0.2 and likelihood(lam) >= likelihood(best) - 1e-3
+    assert fit_yeo_johnson(spark.createDataFrame([(3.0,)] * 5, "x double"), ["x"]) == {"x": 1.0}
+
+
+def test_statistics_of_large_values_and_null_features(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tessera.ml import models as MD
+    y = 1e9 + np.random.default_rng(6).random(2000)
+    df = spark.createDataFrame([(i, float(i % 300) if i % 4 else None, float(v)) for i, v in enumerate(y)], "id long, x double, label double")
+    st = MD._train_stats(df, ["x"], "label", {0: F.lit(True)})[0]
+    assert abs(st["sd_y"] - y.std()) < 1e-4
+    known = [i % 300 for i in range(2000) if i % 4]
+    assert abs(st["mean"][0] - np.mean(known)) < 1e-9
+    pred = df.withColumn("prediction", F.col("label") + F.when(F.col("id") % 2 == 0, 0.1).otherwise(-0.1))
+    r2 = pred.agg(MD.r2_score(pred).alias("r")).first()["r"]
+    assert abs(r2 - (1 - 0.01 / y.var())) < 1e-3
+    assert pred.limit(1).agg(MD.r2_score(pred).alias("r")).first()["r"] is None
+
+
+def test_full_vocabulary_is_an_error(spark):
+    import pytest
+
+    from tessera.ml import models as MD
+    df = spark.createDataFrame([("aa bb cc dd", 0.0), ("aa ee ff", 1.0)], "t string, target double")
+    pipe = MD.text_pipeline("t", vocabulary_limit=3).fit(df)
+    with pytest.raises(ValueError):
+        MD.whole_vocabulary(pipe, 3)
+    assert MD.whole_vocabulary(MD.text_pipeline("t").fit(df)) == 6
+
+
+def test_identical_knn_donors_are_dealt_evenly(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "donors")
+    spark.createDataFrame([(1.0, 2.0)] * 5000, "a double, b double").write.parquet(path)
+    sizes = spark.read.parquet(path).groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(50)).alias("b")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200
