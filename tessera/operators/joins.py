@@ -2,7 +2,7 @@
 
 Broadcasting is decided either by AQE at run time (from the measured size of
 the finished shuffle stage, ``spark.sql.adaptive.autoBroadcastJoinThreshold``)
-or by :func:`bounded_broadcast`, which counts at most ``max_rows + 1`` rows of
+or by :func:`bounded_broadcast`, which counts the rows of
 the candidate side and falls back to a shuffle join above the bound.
 """
 
@@ -34,13 +34,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int =
     """Hint ``broadcast`` only when ``df`` provably fits: at most ``max_rows``
     rows and at most ``max_bytes`` by the schema's row-width estimate.
 
-    The check reads no more than ``limit + 1`` rows, so it is cheap on a
-    dimension table and stops early on a large one, which then keeps a
-    shuffle join (or AQE's own run-time choice).
+    The check is a count, one partial sum per task (a Parquet dimension table
+    answers it from its footers); a larger side keeps a shuffle join (or AQE's
+    own run-time choice).
     """
     limit = max(1, min(max_rows, max_bytes // row_width(df.schema)))
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def left_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:

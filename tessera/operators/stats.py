@@ -233,12 +233,14 @@ def split_by_skew(skews: DataFrame, threshold: float = 0.5, absolute: bool = Fal
 
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:
-    """``(column, q1, q3, iqr, lower, upper)``."""
+    """``(column, q1, q3, iqr, lower, upper)`` (A23); NULL numbers for a
+    column without a value."""
     qs = quantiles(df, cols, (0.25, 0.75), method)
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
     w = qs.groupBy("column").agg(F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q1"),
                                  F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
-    return w.select("column", "q1", "q3", iqr.alias("iqr"), (F.col("q1") - k * iqr).alias("lower"),
+    return names.join(w, "column", "left").select("column", "q1", "q3", iqr.alias("iqr"), (F.col("q1") - k * iqr).alias("lower"),
                     (F.col("q3") + k * iqr).alias("upper"))
 
 
@@ -248,7 +250,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
     long = stack(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     out = long.join(F.broadcast(f.select("column", "lower", "upper")), "column").groupBy("column").agg(
         F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("n_outliers"))
-    return f.join(out, "column", "left")
+    return f.join(out, "column", "left").withColumn("n_outliers", F.coalesce("n_outliers", F.lit(0).cast("long")))
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:

@@ -19,9 +19,9 @@ from tessera.functions.text import word_count
 from tessera.operators.partitioning import spread
 from tessera.operators.windows import top_k_per_group
 
-# A token is a letter/digit/underscore followed by one or more
-# letters, digits, underscores or apostrophes (two characters at least).
-TOKEN_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_']+"
+# A token is a letter/digit/underscore followed by any number of
+# letters, digits, underscores or apostrophes.
+TOKEN_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_']*"
 
 
 def tokens(text_col: str):

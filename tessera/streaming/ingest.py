@@ -35,7 +35,10 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
     the target with :func:`read_target`."""
     stream = file_stream(spark, source_dir, schema, fmt, **options)
 
+    written = []  # ids of this run's batches; progress reports keep only the last hundred
+
     def write_batch(batch: DataFrame, batch_id: int):
+        written.append(batch_id)
         batch.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/batch_id={batch_id}")
         if after_batch is not None:
             after_batch(batch, batch_id)
@@ -43,8 +46,13 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    rows = sum(p.get("numInputRows", 0) for p in q.recentProgress)
-    return {"batches": len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0]), "rows": rows}
+    if not written:
+        return {"batches": 0, "rows": 0}
+    counts = (spark.read.schema(schema).parquet(*[f"{target_path.rstrip('/')}/batch_id={b}" for b in sorted(set(written))])
+              .groupBy(F.col("_metadata.file_path").alias("f")).count()
+              .groupBy(F.regexp_extract("f", r"batch_id=(\d+)", 1).alias("b")).agg(F.sum("count").alias("n"))
+              .agg(F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first())
+    return counts.asDict()
 
 
 def read_target(spark: SparkSession, target_path: str) -> DataFrame:

@@ -112,3 +112,19 @@ def test_generic_csv_contract(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "head.csv"), "id,nome\n3,Sara\n")
     v = {os.path.basename(r.file): r.ok for r in io.check_csv_files(spark, tmp_dir, CLINICAL["utenti"]).collect()}
     assert v == {"ok.csv": True, "short.csv": False, "head.csv": False}
+
+
+def test_incremental_load_counts_its_rows(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tessera.streaming import ingest
+    src = tmp_path / "in"
+    src.mkdir()
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    for k in range(3):
+        (src / f"f{k}.csv").write_text("a\n1\n2\n")
+    args = (spark, str(src), schema, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert ingest.incremental_load(*args, maxFilesPerTrigger=1) == {"batches": 3, "rows": 6}
+    assert ingest.incremental_load(*args, maxFilesPerTrigger=1) == {"batches": 0, "rows": 0}
+    (src / "f9.csv").write_text("a\n")
+    assert ingest.incremental_load(*args, maxFilesPerTrigger=1)["rows"] == 0

@@ -54,3 +54,10 @@ def test_quantiles_property(spark):
             assert abs(got[round(q, 6)] - np.quantile(x, q)) < 1e-9
 
     check()
+
+
+def test_box_stats_keep_a_column_without_values(spark):
+    from tessera.operators import stats as S
+    df = spark.createDataFrame([(float(i), None) for i in range(9)] + [(100.0, None)], "a double, b double")
+    got = {r["column"]: (r["q1"], r["n_outliers"]) for r in S.box_stats(df, ["a", "b"]).collect()}
+    assert got["a"][1] == 1 and got["b"] == (None, 0)
