@@ -130,6 +130,21 @@ def test_passages_of_a_repeated_line(spark):
     assert found.groupBy("key", "doc").count().agg({"count": "max"}).first()[0] <= 2
 
 
+def test_passages_that_hold_a_very_common_line(spark):
+    line = " ".join(words(21, 45))
+    texts = {}
+    for i in range(240):  # a third of the rows hold the line; two of them at a time share the passage around it
+        own = " ".join(words(1000 + i, 25))
+        if i % 3 == 0:
+            around = words(5000 + i // 3 % 20, 15) if i < 120 else words(9000 + i, 15)
+            own += " " + " ".join(around[:8]) + " " + line + " " + " ".join(around[8:])
+        texts[i] = own + " " + " ".join(words(3000 + i, 25))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    assert all(rows[i + 60]["class_id"] == i and [(s["begin"], s["end"]) for s in rows[i + 60]["spans"]] == [(25, 85)] for i in range(0, 60, 3))
+    assert all(rows[i]["class_id"] == i for i in range(240) if i % 3 or i >= 120)
+
+
 def test_joined_windows_equal_brute_force():
     rng = np.random.default_rng(8)
     h = rng.integers(0, 6, 400).astype(np.uint64) << np.uint64(50)
