@@ -25,7 +25,8 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def fingerprint(text: Column, k: int = 6, s: int = 2) -> Column:
     """Anchors of a text as ``distance:hash`` entries, joined by commas. A text
-    of fewer than ``k`` words is one anchor, the hash of the text itself."""
+    without an anchor (of fewer than ``k`` words, or with no closed ``k``-mer) is
+    one anchor, the hash of the text itself."""
     inner = k - s + 1
 
     def anchors(words: Column) -> Column:
@@ -45,7 +46,8 @@ def fingerprint(text: Column, k: int = 6, s: int = 2) -> Column:
         return one
 
     words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
-    return let(words, lambda w: F.when(F.size(w) >= k, anchors(w)).otherwise(F.concat(F.lit("0:"), F.hex(F.xxhash64(text)))))
+    whole = F.concat(F.lit("0:"), F.hex(F.xxhash64(text)))
+    return let(words, lambda w: F.when(F.size(w) >= k, let(anchors(w), lambda a: F.when(a == "", whole).otherwise(a))).otherwise(whole))
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -200,6 +200,13 @@ def test_syncmers(docs, empty):
     assert syncmers.fingerprints(empty).count() == 0
 
 
+def test_texts_without_a_closed_syncmer(spark):
+    texts = [" ".join(words(700 + i, 6 + i % 3)) for i in range(60)]
+    rows = syncmers.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r["fingerprint"] for r in rows) and len({r["fingerprint"] for r in rows}) == len(set(texts))
+    assert max(r["near_next"] for r in rows) == 0
+
+
 def test_wrapper(spark):
     page = "<html><head><title>t</title></head><body><nav><a href='/'>Menu</a></nav><div class='ad'>Buy</div><article><h1>T{0}</h1><p><b>A{0} &amp; b<br><p>second\n  line</article><div class=comments>Nice</div><footer>foot</footer>"
     rows = [(i, "http://a.b/x", page.format(i)) for i in range(4)] + [(7, None, None), (8, "x", ""), (8, "x", ""), (9, "http://c.d", "plain text")]
