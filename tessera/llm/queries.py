@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, forest, langid, licenses, packing, passages, simhash, syncmers, warc, wrapper
+from tessera.llm import bpe, centroids, forest, infill, langid, licenses, mixing, packing, passages, simhash, syncmers, warc, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -124,3 +124,68 @@ def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                  public_tokenizers.PATTERN)
+
+
+@query
+def op11_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate")
+
+
+@query
+def op12_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        centroids.centroid_sha256(F.col("centroid")).alias("centroid_sha256"))
+
+
+def _lloyd_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds as one chain of plain queries."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (SELECT row, min_by(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT row, c, list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, m{r} AS m) GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT c, unnest(v.x) AS x, unnest(range(64)) AS i FROM v JOIN a{r} USING (row)) GROUP BY c, i),
+m{r + 1} AS (SELECT m.c, coalesce(g.x, m.x) AS x FROM m{r} AS m
+  LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{r} GROUP BY c) AS g ON g.c = m.c)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+m0 AS (SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS c, x
+  FROM (SELECT x, sha256('2:' || vec_id) AS h FROM v ORDER BY h NULLS LAST, x LIMIT {k})),
+{", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)}
+SELECT v.vec_id, a.c::INTEGER AS cluster, a.d::BIGINT AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN v USING (row) JOIN m{rounds} AS m ON m.c = a.c
+"""
+
+
+ORACLE_SQL["op12_sharded_lloyd"] = _lloyd_sql()
+
+
+@query
+def op13_swar_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(back, 256).alias("restored_sha256"))
+
+
+ORACLE_SQL["op13_swar_infill"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s,
+                  regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS tokens FROM documents),
+h AS (SELECT *, len(tokens) AS n, CAST('0x' || substr(s, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(s, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(s, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(s, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(tokens[1 : a], '') AS prefix, array_to_string(tokens[a + 1 : b], '') AS middle,
+             array_to_string(tokens[b + 1 : n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
