@@ -62,18 +62,6 @@ class ColumnsModel(Model, HasInputCols, HasState, DefaultParamsReadable, Default
         raise NotImplementedError
 
 
-class FunctionTransformer(Transformer):
-    """A Python function ``DataFrame -> DataFrame`` as a pipeline step.
-    Not persistable (the function is code); use it in unsaved pipelines."""
-
-    def __init__(self, fn):
-        super().__init__()
-        self.fn = fn
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        return df.transform(self.fn)
-
-
 class SelectColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Keep (or drop) a list of columns: the remainder policy of a column
     transformer and the cut of a feature selector."""

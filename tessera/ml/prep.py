@@ -1,4 +1,4 @@
-"""Feature preparation estimators (inventory M1-M15).
+"""Feature preparation estimators (inventory M1-M13).
 
 Semantics follow the scikit-learn stages the reference uses:
 imputation ignores missing values (NULL or NaN) when fitting and fills both;
@@ -10,12 +10,14 @@ likelihood, then standardised.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReader, MLWriter)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,14 +85,15 @@ class Imputer(ColumnsEstimator):
                 [], list(cols), "column", "value").where(F.col("value").isNotNull())
             freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
             numeric = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
-            number = F.when(F.col("column").isin(numeric), F.col("value").try_cast("double"))
+            number = F.when(F.col("column").isin(numeric), F.col("value").try_cast("double"))  # of equal doubles the smaller text
             top = freq.groupBy("column").agg(
                 F.min_by("value", F.struct(-F.col("n"), number, F.col("value"))).alias("top")).collect()
             out = {c: None for c in cols}
             for r in top:
                 v = r["top"]
                 dt = df.schema[r["column"]].dataType
-                out[r["column"]] = int(v) if isinstance(dt, T.IntegralType) else float(v) if isinstance(dt, T.NumericType) else v
+                # a decimal keeps its text, which the cast to the column's type reads in full
+                out[r["column"]] = int(v) if isinstance(dt, T.IntegralType) else float(v) if isinstance(dt, (T.DoubleType, T.FloatType)) else v
             return out
         raise ValueError(s)
 
@@ -305,21 +308,29 @@ def uniform_edges(lo: float, hi: float, bins: int) -> list[float]:
     return list(np.linspace(lo, hi, bins + 1))
 
 
+def _passed(x: Column, edges: list[float]) -> Column:
+    """Number of edges that are <= x (numpy digitize, right=False)."""
+    return F.size(F.filter(F.lit(edges), lambda e: x >= e)).cast("double")
+
+
 class BinnerModel(ColumnsModel):
     def _exprs(self, df, cols, state):
         out = {}
         for c in cols:
             edges = state[c]
-            x = _q(c).cast("double")
-            b = F.lit(0.0)
-            for e in edges[1:-1]:  # count of inner edges <= x (numpy digitize, right=False)
-                b = b + F.when(x >= F.lit(e), 1.0).otherwise(0.0)
-            out[c] = F.when(x.isNull(), F.lit(None)).otherwise(b)
+            x = F.nanvl(_q(c).cast("double"), F.lit(None))
+            if edges is None:  # no value at the fit
+                out[c] = F.lit(None).cast("double")
+                continue
+            b = _passed(x, edges[1:-1])
+            out[c] = F.when(x.isNotNull(), b)
         return out
 
 
 class UniformBinner(ColumnsEstimator):
-    """``KBinsDiscretizer(n_bins, strategy='uniform', encode='ordinal')``."""
+    """``KBinsDiscretizer(n_bins, strategy='uniform', encode='ordinal')``.
+    A missing value (NULL or NaN) has no bin, nor has any value of a column
+    that was all missing at the fit."""
 
     numBins = Param(Params._dummy(), "numBins", "number of bins", TypeConverters.toInt)
     model_class = BinnerModel
@@ -331,7 +342,7 @@ class UniformBinner(ColumnsEstimator):
         k = self.getOrDefault(self.numBins)
         row = _one_row(df, [F.min(_present(df, c)).alias(f"lo{i}") for i, c in enumerate(cols)] +
                        [F.max(_present(df, c)).alias(f"hi{i}") for i, c in enumerate(cols)])
-        return {c: uniform_edges(float(row[f"lo{i}"]), float(row[f"hi{i}"]), k) for i, c in enumerate(cols)}
+        return {c: None if row[f"lo{i}"] is None else uniform_edges(float(row[f"lo{i}"]), float(row[f"hi{i}"]), k) for i, c in enumerate(cols)}
 
 
 # ------------------------------------------------------------------ M12
@@ -420,24 +431,6 @@ class VariancePCA(ColumnsEstimator):
         return {"mean": [means[c] for c in cols], "components": pc.tolist(), "explained": ev[:k].tolist()}
 
 
-# ------------------------------------------------------------------ M14, M15
-def column_transformer(branches: Sequence[tuple[Sequence[str], Sequence]], remainder: str = "passthrough",
-                       all_columns: Sequence[str] | None = None) -> Pipeline:
-    """``ColumnTransformer``: each branch is ``(columns, [stage factories])``;
-    a factory is ``fn(columns) -> stage``. With ``remainder='drop'`` the
-    columns of no branch are removed (``all_columns`` needed)."""
-    stages = []
-    used = []
-    for cols, factories in branches:
-        cols = list(cols)
-        used += cols
-        for make in factories:
-            stages.append(make(cols))
-    if remainder == "drop":
-        stages.append(SelectColumns(drop=[c for c in (all_columns or []) if c not in used]))
-    return Pipeline(stages=stages)
-
-
 # ------------------------------------------------------------------ M3
 class KNNImputerModel(ColumnsModel):
     idCol = Param(Params._dummy(), "idCol", "unique row key", TypeConverters.toString)
@@ -450,6 +443,35 @@ class KNNImputerModel(ColumnsModel):
         return knn_impute(df, st["donors_path"], self.getInputCols(), self.getOrDefault(self.idCol),
                           self.getOrDefault(self.k), st["means"], self.getOrDefault(self.blockRows))
 
+    def write(self) -> MLWriter:
+        return _KNNWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _KNNReader()
+
+
+class _KNNWriter(MLWriter):
+    """Saves the donors with the model, so that it outlives the scratch folder."""
+
+    def __init__(self, instance: KNNImputerModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.sparkSession.read.parquet(self.instance.getState()["donors_path"]).write.parquet(os.path.join(path, "donors"))
+
+
+class _KNNReader(MLReader):
+    def load(self, path: str) -> KNNImputerModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = KNNImputerModel()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model._set_state({**model.getState(), "donors_path": os.path.join(path, "donors")})
+        return model
+
 
 class KNNImputer(ColumnsEstimator):
     """``KNNImputer(n_neighbors=k, weights='distance')`` (M3), exact.

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tessera.ml import models as MD
 from tessera.ml import prep as PR
+from tessera.ml.compose import Branch, Columns, ColumnTransformer, FunctionStep
 from tessera.operators import stats as S
+from tessera.plans.preparation import preparation_pipeline
 from tessera.plans.registry import query, sround, table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -158,34 +160,58 @@ def m13_pca_variance_share(spark, d):
     return out.select(*KEYS, *[F.round(c, 4).alias(c) for c in out.columns if c.startswith("pc_")])
 
 
-def preparation_pipeline(df):
-    """The three-stage preparation of the reference (M14, M15) on our
-    columns: impute + symmetrise/standardise + one-hot; then impute + bin +
-    chi2 selection; then min-max + PCA."""
-    skews = {r["column"]: r["skew"] for r in S.skewness(df, NUMS).collect()}
-    skewed = [c for c in NUMS if abs(skews[c]) >= 0.05]
-    symmetric = [c for c in NUMS if c not in skewed]
-    branches = []
-    if skewed:
-        branches.append((skewed, [lambda c: PR.Imputer(inputCols=c, strategy="median"),
-                                  lambda c: PR.PowerTransformer(inputCols=c)]))
-    if symmetric:
-        branches.append((symmetric, [lambda c: PR.Imputer(inputCols=c, strategy="mean"),
-                                     lambda c: PR.Standardizer(inputCols=c)]))
-    branches.append((["grade"], [lambda c: PR.Imputer(inputCols=c, strategy="most_frequent"),
-                                 lambda c: PR.OneHotEncoder(inputCol=c[0], categories=["C", "B", "A"])]))
-    pipe1 = PR.column_transformer(branches)
-    return pipe1
+IMPUTED_SQL = DATA_SQL.replace("data AS", "raw AS", 1) + f""", data AS (SELECT {K}, target, disc, tax,
+    coalesce(q, (SELECT quantile_cont(q, 0.5) FROM raw)) AS q, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM raw)) AS price,
+    coalesce(grade, {MODE_SQL.replace("FROM data", "FROM raw")}) AS grade, q AS q0, price AS price0 FROM raw)"""
+BINNED = ["binned__q", "binned__price", "disc", "tax", "grade"]
+
+
+def _branches_sql():
+    scaled = ", ".join(sround(f"({c}0 - (SELECT min({c}0) FROM data)) / ((SELECT max({c}0) FROM data) - (SELECT min({c}0) FROM data))", 6)
+                       + f" AS scaled__{c}" for c in ("q", "price"))
+    total, n = "(SELECT sum({c}) FROM pc)", "(SELECT sum(n_c) FROM pc)"
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, sum(power({c} - n_c / {n} * {total.format(c=c)}, 2) / (n_c / {n} * {total.format(c=c)})) AS chi2 FROM pc" for c in BINNED)
+    return f"""WITH {IMPUTED_SQL}, b AS (SELECT {K}, target, {_bins_sql("q")} AS binned__q, {_bins_sql("price")} AS binned__price,
+    {_bins_sql("disc")} AS disc, {_bins_sql("tax")} AS tax, CAST(CASE grade WHEN 'A' THEN 0 WHEN 'B' THEN 1 ELSE 2 END AS DOUBLE) AS grade, {scaled} FROM data),
+pc AS (SELECT target, count(*) AS n_c, {", ".join(f"sum({c}) AS {c}" for c in BINNED)} FROM b GROUP BY target),
+s AS ({parts}),
+top AS (SELECT string_agg(name, ',' ORDER BY name) AS selected FROM (SELECT name FROM s ORDER BY chi2 DESC LIMIT 3))
+SELECT {K}, target, {", ".join(BINNED)}, scaled__q, scaled__price, selected FROM b, top"""
+
+
+@query("m14_column_branches", _branches_sql())
+def m14_column_branches(spark, d):
+    """Numeric and categorical branches picked by type, and a third branch that
+    reads two of the numeric columns again from the original input."""
+    df = data(spark, d)
+    kept = [*KEYS, "target"]
+    branches = ColumnTransformer([
+        Branch("binned", Columns(kind="numeric"), [lambda c: PR.Imputer(inputCols=c, strategy="median"), lambda c: PR.UniformBinner(inputCols=c, numBins=20)]),
+        Branch("ordinal", Columns(kind="categorical"), [lambda c: PR.Imputer(inputCols=c, strategy="most_frequent"),
+                                                        lambda c: PR.OrdinalEncoder(inputCols=c, categories=["A", "B", "C"])]),
+        Branch("scaled", Columns(names=["q", "price"]), [lambda c: PR.MinMaxScaler(inputCols=c)])], keep=kept)
+    out = branches.fit(df).transform(df)
+    best = PR.ChiSquareSelector(inputCols=BINNED, k=3, labelCol="target").fit(out)
+    selected = sorted(set(BINNED) - set(best.getOrDefault(best.drop)))
+    return out.select(*kept, *BINNED, r6("scaled__q"), r6("scaled__price"), F.lit(",".join(selected)).alias("selected"))
 
 
 @query("m15_preparation_pipeline")
 def m15_preparation_pipeline(spark, d):
-    df = data(spark, d)
-    model = preparation_pipeline(df).fit(df)
-    out = model.transform(df)
-    feats = NUMS + ["grade_B", "grade_A"]
-    out = PR.MinMaxScaler(inputCols=feats).fit(out).transform(out)
-    return out.select(*KEYS, *[F.round(c, 4).alias(c) for c in feats], "target")
+    """Pipes 1 to 3 in one pipeline, saved and loaded again."""
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from tessera.operators.windows import global_index
+    from tessera.session import scratch_path
+    df = global_index(data(spark, d), KEYS + NUMS + ["grade", "target"], out="rid")
+    model = preparation_pipeline([*KEYS, "target"], "target", "rid", skew_threshold=0.05, categories=["C", "B", "A"]).fit(df)
+    path = scratch_path(spark, f"preparation-{uuid.uuid4().hex[:12]}")
+    model.write().save(path)
+    out = PipelineModel.load(path).transform(df)
+    return out.select(*KEYS, "target", *[F.round(c, 4).alias(c) for c in out.columns if c.startswith("pc_")])
 
 
 # ------------------------------------------------------------------ text classification
@@ -329,13 +355,23 @@ def m3_knn_impute(spark, d):
 
 @query("u3_function_step_in_pipeline", f"""SELECT p_partkey, {sround('(p_retailprice / p_size - (SELECT avg(p_retailprice / p_size) FROM part)) / (SELECT stddev_pop(p_retailprice / p_size) FROM part)', 6)} AS unit_price FROM part""")
 def u3_function_step_in_pipeline(spark, d):
-    from pyspark.ml import Pipeline
+    """A pipeline with a function step, saved and loaded again."""
+    import uuid
+
+    from pyspark.ml import Pipeline, PipelineModel
 
-    from tessera.ml.base import FunctionTransformer
-    step = FunctionTransformer(lambda df: df.select("p_partkey", (F.col("p_retailprice") / F.col("p_size")).alias("unit_price")))
-    pipe = Pipeline(stages=[step, PR.Standardizer(inputCols=["unit_price"])])
+    from tessera.session import scratch_path
+    pipe = Pipeline(stages=[FunctionStep(ratio_of, key="p_partkey", top="p_retailprice", bottom="p_size", out="unit_price"),
+                            PR.Standardizer(inputCols=["unit_price"])])
     p = table(spark, d, "part")
-    return pipe.fit(p).transform(p).select("p_partkey", F.round("unit_price", 6).alias("unit_price"))
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex[:12]}")
+    pipe.fit(p).write().save(path)
+    return PipelineModel.load(path).transform(p).select("p_partkey", F.round("unit_price", 6).alias("unit_price"))
+
+
+def ratio_of(df, key, top, bottom, out):
+    """(key, out): the quotient of two columns; NULL where the divisor is 0."""
+    return df.select(key, F.try_divide(F.col(top), F.col(bottom)).alias(out))
 
 
 @query("m18_m20_tokens_and_counts")
