@@ -3,16 +3,22 @@ M17-M36).
 
 * Splits and folds come from a hash of a row key (stable under any
   partitioning or file layout) and the global index (W4) for equal folds;
-* every fit reads a cached, assembled frame; evaluation is an aggregation
-  (R^2, confusion counts), never a collect of predictions;
+* regression fits and scores on any parts of the rows come from one pass that
+  makes a small matrix of moments per part; classification is scored by an
+  aggregation of confusion counts, never a collect of predictions;
 * the result tables are long-form DataFrames built from bounded numbers
   (scores, coefficients).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import functools
+import itertools
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -25,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import ENGLISH
 from tessera.ml.prep import Standardizer
+from tessera.operators.comoments import Moments, moments_by_cell
 from tessera.operators.windows import global_index
 
 
@@ -51,11 +58,17 @@ def index_labels(df: DataFrame, inputCol: str, outputCol: str = "target"):
 
 
 # ------------------------------------------------------------------ M21
+def key_hash(keys: Sequence[str], seed: int = 0) -> Column:
+    """First 8 hex digits of the MD5 of the key's columns and the seed, joined
+    by ``|`` (a NULL is an empty field): the same in any engine."""
+    text = F.concat_ws("|", *[F.coalesce(_q(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.substring(F.md5(text.cast("binary")), 1, 8)
+
+
 def hash_fraction(keys: Sequence[str], seed: int = 0) -> Column:
     """A number in [0, 1) from a hash of the row key: stable across runs,
     partitionings and file layouts."""
-    h = F.xxhash64(*[_q(k) for k in keys], F.lit(seed))
-    return F.pmod(h, F.lit(1_000_000)).cast("double") / 1_000_000.0
+    return F.conv(key_hash(keys, seed), 16, 10).cast("double") / 4294967296.0
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 0):
@@ -70,7 +83,7 @@ def assign_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 0,
                  fold_col: str = "fold", rank_col: str = "__rank") -> DataFrame:
     """Equal-sized folds: rank rows by (hash, key) with the global index and
     take the rank modulo ``k``. Keeps the rank for learning-curve prefixes."""
-    h = F.xxhash64(*[_q(c) for c in keys], F.lit(seed)).alias("__h")
+    h = key_hash(keys, seed)
     # order by the hash, the keys, then every other column: rows tied on all
     # of them are identical, so a recomputation gives the same folds
     order = ["__h", *_uniq(keys, df.columns)]
@@ -186,104 +199,164 @@ def r2_score(pred: DataFrame, label: str = "label", prediction: str = "predictio
     return F.lit(1.0) - F.try_divide(F.sum((y - p) ** 2), F.var_pop(y) * F.count(y))
 
 
-def gap(train_r2, test_r2):
-    return 1 - test_r2 / train_r2
+def gap(train_r2: float | None, test_r2: float | None) -> float | None:
+    """1 - test / train; None where a score is undefined or training's is 0."""
+    return 1 - test_r2 / train_r2 if train_r2 and test_r2 is not None else None
 
 
 # ------------------------------------------------------------------ fold engine
-def _train_stats(frame: DataFrame, features: Sequence[str], label: str, masks: dict) -> dict:
-    """For every training mask: n, mean and population sd of each feature
-    and of the label - all masks in ONE aggregation pass."""
-    aggs = []
-    for f, m in masks.items():
-        t = _tag(f)
-        aggs.append(F.count_if(m).alias(f"n_{t}"))
-        for j, c in enumerate(list(features) + [label]):
-            x = F.when(m, F.col(c).cast("double"))
-            aggs += [F.avg(x).alias(f"m_{t}_{j}"), F.stddev_pop(x).alias(f"d_{t}_{j}")]
-    row = frame.agg(*aggs).collect()[0]
-    out = {}
-    for f in masks:
-        t = _tag(f)
-        mean = [row[f"m_{t}_{j}"] or 0.0 for j in range(len(features) + 1)]
-        sd = [row[f"d_{t}_{j}"] or 0.0 for j in range(len(features) + 1)]
-        out[f] = {"n": row[f"n_{t}"] or 0, "mean": mean[:-1], "sd": [x if x > 0 else 1.0 for x in sd[:-1]], "sd_y": sd[-1]}
-    return out
-
-
-def _tag(tag) -> str:
-    return "_".join(str(t) for t in tag) if isinstance(tag, tuple) else str(tag)
-
-
-def _prepared(frame: DataFrame, features: Sequence[str], label: str, st: dict, tag, degree: int):
-    """Features standardised with the training statistics of ``tag``,
-    assembled (and expanded) into the vector column ``__v_<tag>``."""
-    tag = _tag(tag)
-    cols = [((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(f"__x_{tag}_{j}")
-            for j, (c, m, s) in enumerate(zip(features, st["mean"], st["sd"]))]
-    names = [f"__x_{tag}_{j}" for j in range(len(features))]
-    out = frame.select("*", *cols)
-    raw = f"__v_{tag}" if degree == 1 else f"__r_{tag}"
-    out = VectorAssembler(inputCols=names, outputCol=raw).transform(out)
-    if degree > 1:
-        out = PolynomialExpansion(degree=degree, inputCol=raw, outputCol=f"__v_{tag}").transform(out)
-    return out
-
-
-def complete_rows(frame: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows with a value in every column: what statistics, fits and scores use."""
-    for c in cols:
-        frame = frame.where(F.col(c).isNotNull())
-    return frame
+@dataclass(frozen=True)
+class Penalty:
+    """Objective 1/(2n) SSE + ``l1`` |w| + (``l2`` + ``total_l2`` / n) / 2 |w|^2
+    on standardised features; all 0 is least squares."""
+
+    l1: float = 0.0
+    l2: float = 0.0
+    total_l2: float = 0.0
+
+
+def ridge(alpha: float) -> Penalty:
+    """scikit-learn ``Ridge(alpha)``."""
+    return Penalty(total_l2=alpha)
+
+
+def elastic_net(alpha: float, l1_ratio: float = 1.0) -> Penalty:
+    """scikit-learn ``ElasticNet(alpha, l1_ratio)``; ratio 1 is ``Lasso(alpha)``."""
+    return Penalty(l1=alpha * l1_ratio, l2=alpha * (1 - l1_ratio))
+
+
+def solve(gram: np.ndarray, target: np.ndarray, n: float, penalty: Penalty) -> np.ndarray:
+    """Weights from the mean products of the centred features (``gram``) and of
+    these with the centred label (``target``): a linear system, or coordinate
+    descent on the Gram matrix where there is an L1 part."""
+    weight = penalty.l2 + penalty.total_l2 / n
+    if not penalty.l1:
+        return np.linalg.lstsq(gram + weight * np.eye(len(gram)), target, rcond=1e-13)[0]
+    w = np.zeros(len(target))
+    for _ in range(100_000):
+        step = 0.0
+        for j in range(len(w)):
+            curve = gram[j, j] + weight
+            if not curve:
+                continue
+            pull = target[j] - gram[j] @ w + gram[j, j] * w[j]
+            new = np.sign(pull) * max(abs(pull) - penalty.l1, 0.0) / curve
+            step, w[j] = max(step, abs(new - w[j]) * np.sqrt(curve)), new
+        if step <= 1e-13 * max(1.0, float(np.abs(target).max())):
+            break
+    return w
+
+
+def monomials(d: int, degree: int) -> list[tuple[int, ...]]:
+    """Exponents of all products of ``d`` features up to ``degree``, the features first."""
+    found = [e for e in itertools.product(range(degree + 1), repeat=d) if 0 < sum(e) <= degree]
+    return sorted(found, key=lambda e: (sum(e), tuple(-x for x in e)))
+
+
+def _powers(degree: int, d: int, centre: np.ndarray, scale: np.ndarray):
+    """Function of a row matrix (features, label) that gives the monomials of
+    the scaled features and the label."""
+    exponents = np.array(monomials(d, degree))
+
+    def expand(x: np.ndarray) -> np.ndarray:
+        z = (x[:, :d] - centre) / scale
+        return np.column_stack([*(np.prod(z ** e, axis=1) for e in exponents), x[:, d]])
+    return expand, len(exponents) + 1
+
+
+def _shifted_basis(d: int, degree: int, centre: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Matrix and constants that turn monomials of x into those of (x - centre) / scale."""
+    exponents = monomials(d, degree)
+    place = {e: i for i, e in enumerate(exponents)}
+    matrix, constant = np.zeros((len(exponents), len(exponents))), np.zeros(len(exponents))
+    for row, e in enumerate(exponents):
+        for lower in itertools.product(*(range(x + 1) for x in e)):
+            c = math.prod(math.comb(x, k) * (-centre[j]) ** (x - k) / scale[j] ** x for j, (x, k) in enumerate(zip(e, lower)))
+            if lower in place:
+                matrix[row, place[lower]] += c
+            else:
+                constant[row] += c
+    return matrix, constant
+
+
+@dataclass
+class FoldFit:
+    """Result of one fit: weights of the standardised features (or of their
+    monomials), intercept, and R^2 on both parts - None where a part is empty
+    or its label constant."""
+
+    r2_train: float | None
+    r2_test: float | None
+    weights: np.ndarray
+    intercept: float
+
+
+class CellMoments:
+    """Moments of (features, label) per cell of the rows: everything that fits
+    and scores on unions of cells need, from one pass over the data.
+
+    Cells are disjoint parts of the rows (folds, ranges of a split number);
+    a training part is the merged moments of its cells. Features are
+    standardised with the training part's own statistics - a linear map of the
+    moments, also for polynomials, whose monomials are expanded anew. Rows with
+    a NULL or NaN in a feature or the label take no part.
+    """
 
+    def __init__(self, frame: DataFrame, features: Sequence[str], label: str, cell: str, degree: int = 1):
+        self.features, self.degree, d = list(features), degree, len(features)
+        columns = [*features, label]
+        if degree == 1:
+            self.cells = moments_by_cell(frame, columns, cell)
+        else:  # monomials of features near 0 and 1, for their sums to keep their digits
+            scale = frame.select(*[F.avg(F.nanvl(_q(c).cast("double"), F.lit(None))).alias(f"m{i}") for i, c in enumerate(features)],
+                                 *[F.stddev_pop(F.nanvl(_q(c).cast("double"), F.lit(None))).alias(f"s{i}") for i, c in enumerate(features)]).first()
+            expand, width = _powers(degree, d, np.array([scale[f"m{i}"] or 0.0 for i in range(d)]),
+                                    np.array([scale[f"s{i}"] or 1.0 for i in range(d)]))
+            self.cells = moments_by_cell(frame, columns, cell, expand, width)
+
+    def part(self, cells) -> Moments | None:
+        found = [self.cells[c] for c in cells if c in self.cells]
+        return functools.reduce(Moments.merged, found) if found else None
+
+    def fit(self, train, test, penalty: Penalty = Penalty(), features: Sequence[str] | None = None) -> FoldFit:
+        """Fit on the cells ``train``, score on these and on the cells ``test``;
+        with ``features``, some of them only (degree 1)."""
+        own, other = self.part(train), self.part(test)
+        d, last = len(self.features), [-1]
+        if own is None or not own.n:
+            return FoldFit(None, None, np.zeros(0), math.nan)
+        if features is not None:
+            index = [self.features.index(c) for c in features] + [d]
+            own, other, d = own.at(index), other and other.at(index), len(features)
+        sd = np.sqrt(np.diag(own.c)[:d] / own.n)
+        sd[sd <= 1e-12 * np.maximum(np.abs(own.mean[:d]), 1e-300)] = 1.0  # constant features are not scaled
+        matrix, constant = _shifted_basis(d, self.degree, own.mean[:d], sd)
+        whole = np.zeros((len(matrix) + 1, len(matrix) + 1))
+        whole[:-1, :-1], whole[-1, -1] = matrix, 1.0
+        own = own.mapped(whole, np.append(constant, 0.0))
+        other = other and other.mapped(whole, np.append(constant, 0.0))
+        w = solve(own.c[:-1, :-1] / own.n, own.c[:-1, last].ravel() / own.n, own.n, penalty)
+        intercept = float(own.mean[-1] - own.mean[:-1] @ w)
+        return FoldFit(self._r2(own, w, intercept), self._r2(other, w, intercept), w, intercept)
+
+    @staticmethod
+    def _r2(m: Moments | None, w: np.ndarray, intercept: float) -> float | None:
+        if m is None or not m.n or m.c[-1, -1] <= 1e-14 * m.n * m.mean[-1] ** 2:
+            return None
+        off = m.mean[-1] - intercept - m.mean[:-1] @ w
+        error = m.c[-1, -1] - 2 * w @ m.c[:-1, -1] + w @ m.c[:-1, :-1] @ w + m.n * off * off
+        return float(1.0 - error / m.c[-1, -1])
 
-def run_folds(frame: DataFrame, features: Sequence[str], label: str, train_masks: dict, test_masks: dict,
-              estimator_factory=None, degree: int = 1, stats: dict | None = None,
-              parallelism: int = 4) -> list[tuple]:
-    """Fit one model per training mask and score it on its training and test
-    rows: ``[(tag, r2_train, r2_test, model)]``.
 
-    Passes over ``frame``: one for all training statistics (scaler refit per
-    fold, label sd), one fit per mask (the normal-equation solver aggregates
-    the Gram matrix in a single pass), one for all R^2 sums at once.
-    """
-    factory = estimator_factory or ols_factory
-    frame = complete_rows(frame, [label, *features])
-    st = stats or _train_stats(frame, features, label, train_masks)
-    def fit(tag):
-        train = _prepared(frame.where(train_masks[tag]), features, label, st[tag], tag, degree)
-        est = factory(st[tag]["n"], st[tag]["sd_y"]).setFeaturesCol(f"__v_{_tag(tag)}").setLabelCol(label)
-        return est.fit(train)
-
-    from concurrent.futures import ThreadPoolExecutor
-    tags = list(train_masks)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tags)))) as pool:
-        models = dict(zip(tags, pool.map(fit, tags)))
-    scored = frame
-    for tag, model in models.items():
-        scored = _prepared(scored, features, label, st[tag], tag, degree)
-        scored = model.copy().setFeaturesCol(f"__v_{_tag(tag)}").setPredictionCol(f"__p_{_tag(tag)}").transform(scored)
-    y = F.col(label).cast("double")
-    aggs = []
-    for tag in models:
-        for part, m in (("tr", train_masks[tag]), ("te", test_masks[tag])):
-            p, t = F.col(f"__p_{_tag(tag)}"), _tag(tag)
-            aggs += [F.sum(F.when(m, (y - p) * (y - p))).alias(f"e_{t}_{part}"),
-                     F.var_pop(F.when(m, y)).alias(f"v_{t}_{part}"), F.count_if(m).alias(f"n_{t}_{part}")]
-    row = scored.agg(*aggs).collect()[0]
-
-    def r2(tag, part):
-        t = _tag(tag)
-        n = row[f"n_{t}_{part}"]
-        if not n:
-            return None
-        sst = row[f"v_{t}_{part}"] * n
-        return 1.0 - row[f"e_{t}_{part}"] / sst if sst else None
-    return [(tag, r2(tag, "tr"), r2(tag, "te"), models[tag]) for tag in models]
+def _mean(scores: Sequence[float | None]) -> float | None:
+    """Mean of the scores that are defined."""
+    known = [s for s in scores if s is not None]
+    return sum(known) / len(known) if known else None
 
 
-def ols_factory(n, sd_y):
-    return linear_regression()
+def _folds(k: int) -> list[tuple[list[int], list[int]]]:
+    """(training cells, test cells) of each of ``k`` folds."""
+    return [([c for c in range(k) if c != i], [i]) for i in range(k)]
 
 
 def ridge_factory(alpha: float):
@@ -320,127 +393,127 @@ def _prepare(train: DataFrame, test: DataFrame, features: Sequence[str], label:
 
 # ------------------------------------------------------------------ M27
 def holdout_evaluation(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-                       test_sizes: Sequence[float] = (0.2, 0.3), seed: int = 0,
-                       estimator_factory=ols_factory) -> DataFrame:
+                       test_sizes: Sequence[float] = (0.2, 0.3), seed: int = 0, penalty: Penalty = Penalty()) -> DataFrame:
     """R^2 train / test and gap for each hold-out size (long form); all sizes
-    share the statistics and evaluation passes."""
-    u = hash_fraction(keys, seed)
-    frame = df.select(*features, label, u.alias("__u"))
-    tr = {i: F.col("__u") >= ts for i, ts in enumerate(test_sizes)}
-    te = {i: F.col("__u") < ts for i, ts in enumerate(test_sizes)}
-    res = run_folds(frame, features, label, tr, te, estimator_factory)
-    rows = [(float(test_sizes[i]), a, b, gap(a, b)) for i, a, b, _ in res]
+    come from one pass: a cell is a range of the split number between two sizes."""
+    cuts, u = sorted(set(test_sizes)), hash_fraction(keys, seed)
+    cell = sum((u >= c).cast("int") for c in cuts)
+    held = CellMoments(df.select(*features, label, cell.alias("__cell")), features, label, "__cell")
+    rows = []
+    for size in test_sizes:
+        below = cuts.index(size)
+        f = held.fit(range(below + 1, len(cuts) + 1), range(below + 1), penalty)
+        rows.append((float(size), f.r2_train, f.r2_test, gap(f.r2_train, f.r2_test)))
     return df.sparkSession.createDataFrame(rows, "test_size double, r2_train double, r2_test double, gap double")
 
 
 # ------------------------------------------------------------------ M28
+def fold_moments(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], k: int = 5, seed: int = 0,
+                 degree: int = 1) -> CellMoments:
+    """Moments per fold, for any number of cross-validations on these folds."""
+    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed)
+    return CellMoments(folded, features, label, "fold", degree)
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], k: int = 5,
-                   seed: int = 0, estimator_factory=ols_factory, degree: int = 1,
-                   folded: DataFrame | None = None) -> DataFrame:
+                   seed: int = 0, penalty: Penalty = Penalty(), degree: int = 1) -> DataFrame:
     """k-fold CV with the scaler refit on each training part; one row per
-    fold ``(fold, r2_train, r2_test)``."""
-    own = folded is None
-    f = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache() if own else folded
-    try:
-        fold = F.col("fold")
-        res = run_folds(f, features, label, {i: fold != i for i in range(k)}, {i: fold == i for i in range(k)},
-                        estimator_factory, degree)
-    finally:
-        if own:
-            f.unpersist()
-    return df.sparkSession.createDataFrame([(i, a, b) for i, a, b, _ in res],
+    fold ``(fold, r2_train, r2_test)``; NULL for a constant label."""
+    held = fold_moments(df, features, label, keys, k, seed, degree)
+    fits = [held.fit(tr, te, penalty) for tr, te in _folds(k)]
+    return df.sparkSession.createDataFrame([(i, f.r2_train, f.r2_test) for i, f in enumerate(fits)],
                                            "fold int, r2_train double, r2_test double")
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:
     """Mean train / test R^2 and gap ``1 - test/train`` (evaluate_cv)."""
     return folds.agg(F.avg("r2_train").alias("mean_train"), F.avg("r2_test").alias("mean_test")).withColumn(
-        "gap", F.lit(1.0) - F.col("mean_test") / F.col("mean_train"))
+        "gap", F.lit(1.0) - F.try_divide(F.col("mean_test"), F.col("mean_train")))
+
+
+def _scores(held: CellMoments, k: int, penalty: Penalty = Penalty(), features: Sequence[str] | None = None):
+    """(mean train, mean test, gap) over the folds."""
+    fits = [held.fit(tr, te, penalty, features) for tr, te in _folds(k)]
+    train, test = _mean([f.r2_train for f in fits]), _mean([f.r2_test for f in fits])
+    return train, test, gap(train, test)
 
 
 # ------------------------------------------------------------------ M30, M31
 def regularization_sweep(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-                         candidates: Sequence[tuple[str, Callable]], k: int = 5, seed: int = 0,
+                         candidates: Sequence[tuple[str, Penalty]], k: int = 5, seed: int = 0,
                          base_train: float | None = None, base_test: float | None = None,
                          tolerance: float = 0.05) -> DataFrame:
-    """Cross-validate each candidate ``(name, estimator_factory)``; flag the
-    chosen one by the reference rule: accepted when both mean scores are
-    within ``tolerance`` of the unregularised ones and the gap beats the best
-    so far; without a baseline every candidate is accepted, so the last wins.
-    Folds, cache and training statistics are shared by all candidates."""
-    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache()
-    fold = F.col("fold")
-    tr, te = {i: fold != i for i in range(k)}, {i: fold == i for i in range(k)}
+    """Cross-validate each candidate ``(name, penalty)``; flag the chosen one
+    by the reference rule: accepted when both mean scores are within
+    ``tolerance`` of the unregularised ones and the gap beats the best so far;
+    without a baseline every candidate is accepted, so the last wins. A
+    candidate without scores (constant label) has NULLs and is never chosen.
+    All candidates share one pass over the data."""
+    held = fold_moments(df, features, label, keys, k, seed)
     rows, best, best_gap = [], None, None
-    try:
-        stats = _train_stats(complete_rows(folded, [label, *features]), features, label, tr)
-        for name, factory in candidates:
-            res = run_folds(folded, features, label, tr, te, factory, stats=stats)
-            mt = sum(r[1] for r in res) / k
-            ms = sum(r[2] for r in res) / k
-            g = 1 - ms / mt
-            ok = (base_train is None or base_test is None or
-                  (mt >= base_train - tolerance and ms >= base_test - tolerance and
-                   (best_gap is None or g < best_gap)))
-            if ok:
-                best, best_gap = name, g
-            rows.append((name, mt, ms, g))
-    finally:
-        folded.unpersist()
+    for name, penalty in candidates:
+        mt, ms, g = _scores(held, k, penalty)
+        ok = g is not None and (base_train is None or base_test is None or
+                                (mt >= base_train - tolerance and ms >= base_test - tolerance and
+                                 (best_gap is None or g < best_gap)))
+        if ok:
+            best, best_gap = name, g
+        rows.append((name, mt, ms, g))
     out = df.sparkSession.createDataFrame(rows, "candidate string, mean_train double, mean_test double, gap double")
-    return out.withColumn("chosen", F.col("candidate") == F.lit(best))
+    return out.withColumn("chosen", F.col("candidate").eqNullSafe(F.lit(best)))
 
 
 def ridge_lasso_candidates(kind: str, alphas: Sequence[float]):
-    make = {"ridge": ridge_factory, "lasso": lasso_factory}[kind]
+    make = {"ridge": ridge, "lasso": elastic_net}[kind]
     return [(f"{kind} alpha={a:g}", make(a)) for a in alphas]
 
 
 def elastic_net_candidates(alphas: Sequence[float], l1_ratios: Sequence[float]):
-    return [(f"elasticnet alpha={a:g} l1_ratio={r:g}", elastic_net_factory(a, r)) for a in alphas for r in l1_ratios]
+    return [(f"elasticnet alpha={a:g} l1_ratio={r:g}", elastic_net(a, r)) for a in alphas for r in l1_ratios]
 
 
 # ------------------------------------------------------------------ M32
 def feature_ablation(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                      drops: Sequence[Sequence[str]], k: int = 5, seed: int = 0) -> DataFrame:
-    """CV summary with all features and with each listed subset removed
-    (one fold assignment, cached, for every variant)."""
-    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache()
-    rows = []
-    try:
-        for drop in [()] + [tuple(x) for x in drops]:
-            use = [c for c in features if c not in drop]
-            s = cv_summary(cross_validate(df, use, label, keys, k, seed, folded=folded)).collect()[0]
-            rows.append(("all" if not drop else "without " + ", ".join(drop), s["mean_train"], s["mean_test"], s["gap"]))
-    finally:
-        folded.unpersist()
+    """CV summary with all features and with each listed subset removed: rows
+    and columns of the same moments, one pass for every variant. Rows with a
+    missing value in any of ``features`` take no part in any variant."""
+    held = fold_moments(df, features, label, keys, k, seed)
+    rows = [("all" if not drop else "without " + ", ".join(drop), *_scores(held, k, features=[c for c in features if c not in drop]))
+            for drop in [()] + [tuple(x) for x in drops]]
     return df.sparkSession.createDataFrame(rows, "variant string, mean_train double, mean_test double, gap double")
 
 
 # ------------------------------------------------------------------ M34
 def learning_curve(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                    sizes: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0), k: int = 5, seed: int = 0,
-                   estimator_factory=ols_factory) -> DataFrame:
+                   penalty: Penalty = Penalty()) -> DataFrame:
     """Mean train / test R^2 over ``k`` folds at growing shares of each
-    training part (nested prefixes of the hashed order). All sizes and folds
-    share one statistics pass and one evaluation pass."""
-    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed).cache()
-    try:
-        n = folded.count()
-        r, fold = F.col("__rank"), F.col("fold")
-        tr, te = {}, {}
-        for si, share in enumerate(sizes):
-            for i in range(k):
-                n_train = n - (n - i + k - 1) // k
-                m = max(int(share * n_train), 2)
-                train_rank = r - F.floor((r - i + k - 1) / k)
-                tr[(si, i)] = (fold != i) & (train_rank < m)
-                te[(si, i)] = fold == i
-        res = {tag: (a, b) for tag, a, b, _ in run_folds(folded, features, label, tr, te, estimator_factory)}
-        rows = [(float(share), sum(res[(si, i)][0] for i in range(k)) / k, sum(res[(si, i)][1] for i in range(k)) / k)
-                for si, share in enumerate(sizes)]
-    finally:
-        folded.unpersist()
+    training part (nested prefixes of the hashed order). A cell is a fold and a
+    range of ranks between two prefix ends, so all sizes and folds come from
+    one pass of moments."""
+    folded = assign_folds(df.select(*_uniq(keys, features, label)), keys, k, seed)
+    n = folded.count()
+    ends = {}
+    for s, share in enumerate(sizes):
+        for i in range(k):
+            wanted = max(int(share * (n - (n - i + k - 1) // k)), 2)
+            low, high = 0, n  # the first rank before which the training part has so many rows
+            while low < high:
+                mid = (low + high) // 2
+                low, high = (mid + 1, high) if mid - (mid - i + k - 1) // k < wanted else (low, mid)
+            ends[s, i] = low
+    cuts = sorted(set(ends.values()))
+    piece = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("__rank"))) if cuts else F.lit(0)
+    cell = (piece * k + F.col("fold")).alias("__cell")
+    held = CellMoments(folded.select(*_uniq(features, label), cell), features, label, "__cell")
+    rows = []
+    for s, share in enumerate(sizes):
+        fits = []
+        for i in range(k):
+            train = [p * k + f for p in range(cuts.index(ends[s, i]) + 1) for f in range(k) if f != i]
+            fits.append(held.fit(train, [p * k + i for p in range(len(cuts) + 1)], penalty))
+        rows.append((float(share), _mean([f.r2_train for f in fits]), _mean([f.r2_test for f in fits])))
     return df.sparkSession.createDataFrame(rows, "train_share double, mean_train double, mean_test double")
 
 

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.comoments import correlations
 from tessera.operators.partitioning import spread
 from tessera.operators.windows import global_index
 
@@ -286,15 +287,10 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation for every ordered pair, pairwise-complete."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = df.agg(*[F.corr(_num(a), _num(b)).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    rows = [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r")) for c in cols]
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("r")))
-        rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c{i}").alias("r")))
-    return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+    """Pearson correlation for every ordered pair, pairwise-complete (A25), from
+    one mergeable matrix whatever the number of columns. NULL for a pair with
+    fewer than two common rows or without variation in them."""
+    return correlations(df, cols)
 
 
 def grade_correlations(df: DataFrame, cols: Sequence[str], target: str,

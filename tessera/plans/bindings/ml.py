@@ -249,7 +249,12 @@ def m22_m24_text_classification(spark, d):
     return MD.compare_text_fields(train, test, ["summary", "documents"])
 
 
-@query("m21_hash_split_sizes")
+def _hash_sql(keys, seed=0):
+    return "substr(md5(concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + f", '{seed}')), 1, 8)"
+
+
+@query("m21_hash_split_sizes", f"""SELECT CASE WHEN CAST('0x' || {_hash_sql(["l_orderkey", "l_linenumber", "l_partkey"])} AS BIGINT) / 4294967296.0 >= 0.2
+    THEN 'train' ELSE 'test' END AS split, count(*) AS n FROM lineitem GROUP BY 1""")
 def m21_hash_split_sizes(spark, d):
     train, test = MD.hash_split(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 0.2, 0)
     return (train.select(F.lit("train").alias("split"), "l_orderkey")
@@ -308,6 +313,63 @@ def m29_polynomial_features(spark, d):
     return MD.polynomial_features(table(spark, d, "lineitem"), ["l_quantity", "l_discount"], 2, include_bias=True)
 
 
+# one feature: the closed forms of the regression line give every score in SQL
+ONE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+RANKED_SQL = f"""ranked AS (SELECT l_quantity AS x, l_extendedprice AS y, CAST('0x' || {_hash_sql(ONE)} AS BIGINT) / 4294967296.0 AS u,
+    row_number() OVER (ORDER BY {_hash_sql(ONE)}, {", ".join(ONE)}, l_quantity, l_extendedprice) - 1 AS rank FROM lineitem)"""
+
+
+def _line_sql(parts):
+    """(tag, r2_train, r2_test) of a line through each training part, with
+    ``parts`` as (tag, training rows, test rows, ridge alpha)."""
+    out = []
+    for tag, train, test, alpha in parts:
+        out.append(f"""SELECT {tag} AS tag, 1 - sum((y - a - b * x) ^ 2) FILTER (WHERE {train}) / (var_pop(y) FILTER (WHERE {train}) * count(*) FILTER (WHERE {train})) AS r2_train,
+    1 - sum((y - a - b * x) ^ 2) FILTER (WHERE {test}) / (var_pop(y) FILTER (WHERE {test}) * count(*) FILTER (WHERE {test})) AS r2_test
+FROM ranked, (SELECT b, my - b * mx AS a FROM (SELECT covar_pop(y, x) * count(*) / (var_pop(x) * (count(*) + {alpha})) AS b, avg(x) AS mx, avg(y) AS my
+    FROM ranked WHERE {train}))""")
+    return f"WITH {RANKED_SQL}, " + "scored AS (" + " UNION ALL ".join(out) + ")"
+
+
+def _fold_parts(tag="{i}", alpha=0.0):
+    return [(tag.format(i=i), f"rank % 5 <> {i}", f"rank % 5 = {i}", alpha) for i in range(5)]
+
+
+@query("m27_holdout_one_feature", _line_sql([("0.2", "u >= 0.2", "u < 0.2", 0.0), ("0.3", "u >= 0.3", "u < 0.3", 0.0)])
+       + f" SELECT CAST(tag AS DOUBLE) AS test_size, {sround('r2_train', 6)} AS r2_train, {sround('r2_test', 6)} AS r2_test FROM scored")
+def m27_holdout_one_feature(spark, d):
+    out = MD.holdout_evaluation(table(spark, d, "lineitem"), ["l_quantity"], RLABEL, ONE, (0.2, 0.3))
+    return out.select("test_size", r6("r2_train"), r6("r2_test"))
+
+
+@query("m28_cross_validation_one_feature", _line_sql(_fold_parts())
+       + f" SELECT CAST(tag AS INTEGER) AS fold, {sround('r2_train', 6)} AS r2_train, {sround('r2_test', 6)} AS r2_test FROM scored")
+def m28_cross_validation_one_feature(spark, d):
+    out = MD.cross_validate(table(spark, d, "lineitem"), ["l_quantity"], RLABEL, ONE, k=5)
+    return out.select("fold", r6("r2_train"), r6("r2_test"))
+
+
+@query("m30_ridge_sweep_one_feature", _line_sql(_fold_parts("'ridge alpha=10'", 10.0) + _fold_parts("'ridge alpha=20000'", 20000.0))
+       + f" SELECT tag AS candidate, {sround('avg(r2_train)', 6)} AS mean_train, {sround('avg(r2_test)', 6)} AS mean_test,"
+       " tag = 'ridge alpha=20000' AS chosen FROM scored GROUP BY tag")
+def m30_ridge_sweep_one_feature(spark, d):
+    out = MD.regularization_sweep(table(spark, d, "lineitem"), ["l_quantity"], RLABEL, ONE, MD.ridge_lasso_candidates("ridge", [10.0, 20000.0]))
+    return out.select("candidate", r6("mean_train"), r6("mean_test"), "chosen")
+
+
+def _prefix_parts(share):
+    n = "(SELECT count(*) FROM lineitem)"
+    return [(f"{share}", f"rank % 5 <> {i} AND rank - (rank - {i} + 4) // 5 < greatest(floor({share}::DOUBLE * ({n} - ({n} - {i} + 4) // 5)), 2)",
+             f"rank % 5 = {i}", 0.0) for i in range(5)]
+
+
+@query("m34_learning_curve_one_feature", _line_sql([p for share in (0.1, 0.55, 1.0) for p in _prefix_parts(share)])
+       + f" SELECT CAST(tag AS DOUBLE) AS train_share, {sround('avg(r2_train)', 6)} AS mean_train, {sround('avg(r2_test)', 6)} AS mean_test FROM scored GROUP BY tag")
+def m34_learning_curve_one_feature(spark, d):
+    out = MD.learning_curve(table(spark, d, "lineitem"), ["l_quantity"], RLABEL, ONE, (0.1, 0.55, 1.0))
+    return out.select("train_share", r6("mean_train"), r6("mean_test"))
+
+
 @query("m30_ridge_lasso_sweep")
 def m30_ridge_lasso_sweep(spark, d):
     df = reg_data(spark, d)

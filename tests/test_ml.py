@@ -248,10 +248,10 @@ def test_statistics_of_large_values_and_null_features(spark):
     from tessera.ml import models as MD
     y = 1e9 + np.random.default_rng(6).random(2000)
     df = spark.createDataFrame([(i, float(i % 300) if i % 4 else None, float(v)) for i, v in enumerate(y)], "id long, x double, label double")
-    st = MD._train_stats(df, ["x"], "label", {0: F.lit(True)})[0]
-    assert abs(st["sd_y"] - y.std()) < 1e-4
-    known = [i % 300 for i in range(2000) if i % 4]
-    assert abs(st["mean"][0] - np.mean(known)) < 1e-9
+    m = MD.CellMoments(df.withColumn("cell", F.lit(0)), ["x"], "label", "cell").cells[0]
+    known = [i for i in range(2000) if i % 4]
+    assert abs(np.sqrt(m.c[1, 1] / m.n) - y[known].std()) < 1e-4
+    assert abs(m.mean[0] - np.mean([i % 300 for i in known])) < 1e-9
     pred = df.withColumn("prediction", F.col("label") + F.when(F.col("id") % 2 == 0, 0.1).otherwise(-0.1))
     r2 = pred.agg(MD.r2_score(pred).alias("r")).first()["r"]
     assert abs(r2 - (1 - 0.01 / y.var())) < 1e-3
