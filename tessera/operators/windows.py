@@ -2,11 +2,10 @@
 
 A plain ``Window.orderBy(x)`` without ``partitionBy`` moves every row into a
 single task, and ``partitionBy(series)`` puts a whole hot series into one
-task. :func:`rolling` avoids both: it numbers the rows in the global order
-(:func:`global_index`), cuts the numbered rows into fixed-size buckets, copies
-the few boundary rows a frame needs from the neighbouring bucket ("halo"),
-evaluates the window per bucket and drops the copies. The result equals the
-single global window; every task holds at most ``bucket_rows`` + halo rows.
+task. :func:`rolling` avoids both: it cuts the whole order into ranges, copies
+the few rows a frame needs from the ranges beside it ("halo"), evaluates the
+window per range and drops the copies. The result equals the single global
+window; a task holds one range and its halo rows.
 """
 
 from __future__ import annotations
@@ -67,46 +66,82 @@ def global_index(df: DataFrame, order_by, out: str = "row_index", start: int = 1
 
 
 # ---------------------------------------------------------------- rolling engine
+_BUCKET, _HALO, _BOUNDS, _KEY = "__bucket", "__halo", "__bounds", "__key"
+#: Sampled rows per range.
+_SAMPLE = 32
+
+
+def _ranges(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """``df`` with the number of the range of ``order`` (one of ``n``) that
+    each row lies in.
+
+    The bounds are quantiles of the rows whose keys have the smallest hashes:
+    the same rows whenever and wherever they are asked for, so every use of
+    the ranges cuts alike. They are a scalar subquery of the plan, not a job
+    of their own; a row finds its range by halving.
+    """
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(_SAMPLE * n)
+    held = sample.agg(F.array_sort(F.collect_list("k")).alias("s"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(max(1, n - 1))), lambda i: F.get("s", F.floor(i * F.size("s") / n).cast("int")))
+    found = df.select("*", held.select(cuts.alias(_BOUNDS)).scalar().alias(_BOUNDS), key.alias(_KEY), F.lit(0).alias(_BUCKET))
+    for i in range(max(1, n - 1).bit_length() - 1, -1, -1):  # each step a projection of its own: compiled, nothing computed twice
+        passed = F.get(_BOUNDS, F.col(_BUCKET) + ((1 << i) - 1)) < F.col(_KEY)
+        found = found.withColumn(_BUCKET, F.when(passed, F.col(_BUCKET) + (1 << i)).otherwise(F.col(_BUCKET)))
+    return found.drop(_BOUNDS, _KEY)
+
+
+def _edge_rows(ranged: DataFrame, order: list[Column], k: int, before: bool) -> DataFrame:
+    """Copies of the ``k`` rows before (or after) each range, with that range's
+    number. Every task forwards at most ``k`` rows per range; a range with
+    fewer rows passes its neighbour's on."""
+    toward = [c.desc_nulls_last() if before else c.asc_nulls_first() for c in order]
+    names = [c for c in ranged.columns if c != _BUCKET]
+    edge = (ranged.withColumn("__rn", F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*toward))).where(F.col("__rn") <= k)
+            .groupBy(_BUCKET).agg(F.collect_list(F.struct("__rn", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))).alias("rows")))
+    sign = -1 if before else 1
+    edge = edge.select(_BUCKET, F.array_sort("rows", lambda a, b: (a["__rn"] - b["__rn"]) * sign).alias("rows"))
+    # one row per range from here: places of the edge rows in the whole order
+    end = F.sum(F.size("rows")).over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, 0))
+    edge = edge.withColumn("__end", end).withColumn("__begin", F.col("__end") - F.size("rows"))
+    near = Window.orderBy(_BUCKET).rowsBetween(*((1, k) if before else (-k, -1)))
+    edge = edge.withColumn("__near", F.collect_list(F.struct(F.col(_BUCKET).alias("bucket"), F.col("__begin").alias("begin"), F.col("__end").alias("end"))).over(near))
+    edge = edge.select("__near", "__begin", F.posexplode("rows").alias("__pos", "__x"))
+    place = F.col("__begin") + F.col("__pos")
+    serves = F.filter("__near", lambda r: r["begin"] - place <= k if before else place - r["end"] < k)
+    return edge.select("__x.row", F.explode(F.transform(serves, lambda r: r["bucket"])).alias(_BUCKET)).select("row.*", _BUCKET)
+
+
 def rolling(df: DataFrame, order_by, columns: dict[str, Callable[[WindowSpec], Column]],
-            lo: int, hi: int, partition_by=None, bucket_rows: int = 1_000_000,
+            lo: int, hi: int, partition_by=None, ranges: int | None = None,
             strategy: str = "halo") -> DataFrame:
     """Add window columns with a ROWS frame ``[lo, hi]`` per ``partition_by``.
 
     ``columns`` maps an output name to ``fn(window_spec) -> Column``, e.g.
     ``{"ma": lambda w: F.avg("price").over(w)}``; the spec already carries the
-    partitioning, the order and the frame.
+    partitioning, the order and the frame. ``order_by`` (ascending) must be a
+    total order within a partition.
 
-    ``strategy``: ``"halo"`` (default) is the skew-proof bucketed plan at every
-    size; ``"window"`` is one plain Spark window, for callers who know that
-    the largest partition fits a task.
+    ``strategy``: ``"halo"`` (default) cuts the whole order into ``ranges``
+    ranges and gives each the few rows before and after it; rows are shuffled
+    once, and no job runs while the plan is built. ``"window"`` is one plain
+    Spark window, for callers who know that the largest partition fits a task.
     """
     parts = _cols(partition_by)
     keys = _cols(order_by)
     if strategy == "window":
         w = (Window.partitionBy(*parts) if parts else Window).orderBy(*keys).rowsBetween(lo, hi)
         return df.withColumns({k: fn(w) for k, fn in columns.items()})
-
-    back, fwd = max(0, -lo), max(0, hi)
-    if back >= bucket_rows or fwd >= bucket_rows:
-        raise ValueError("frame wider than a bucket; raise bucket_rows")
-    idx, bucket, halo = "__idx", "__bucket", "__halo"
-    indexed = global_index(df, parts + keys, out=idx, start=0)
-    pos = F.col(idx) % bucket_rows
-    base = indexed.withColumn(bucket, F.floor(F.col(idx) / bucket_rows)).withColumn(
-        halo, F.lit(False))
-    pieces = [base]
-    if back:  # last `back` rows of bucket b also serve bucket b+1
-        pieces.append(base.where(pos >= bucket_rows - back)
-                      .withColumn(bucket, F.col(bucket) + 1).withColumn(halo, F.lit(True)))
-    if fwd:  # first `fwd` rows of bucket b also serve bucket b-1
-        pieces.append(base.where(pos < fwd)
-                      .withColumn(bucket, F.col(bucket) - 1).withColumn(halo, F.lit(True)))
-    allrows = pieces[0]
-    for p in pieces[1:]:
-        allrows = allrows.unionByName(p)
-    w = Window.partitionBy(bucket, *parts).orderBy(idx).rowsBetween(lo, hi)
-    out = allrows.withColumns({k: fn(w) for k, fn in columns.items()})
-    return out.where(~F.col(halo)).drop(idx, bucket, halo)
+    order = [F.col(c) if isinstance(c, str) else c for c in parts + keys]
+    n = ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _ranges(df, order, n)
+    every = ranged.withColumn(_HALO, F.lit(False))
+    for k, before in ((max(0, -lo), True), (max(0, hi), False)):
+        if k:
+            every = every.unionByName(_edge_rows(ranged, order, k, before).withColumn(_HALO, F.lit(True)))
+    w = Window.partitionBy(_BUCKET, *parts).orderBy(*keys).rowsBetween(lo, hi)
+    out = every.withColumns({k: fn(w) for k, fn in columns.items()})
+    return out.where(~F.col(_HALO)).drop(_BUCKET, _HALO)
 
 
 # ---------------------------------------------------------------- W1, P9

@@ -83,7 +83,7 @@ LI_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     FROM lineitem""")
 def w2_moving_average_unpartitioned(spark, d):
     li = table(spark, d, "lineitem")
-    out = W.moving_average(li, "l_extendedprice", LI_ORDER, 10, out="ma_10", bucket_rows=5000)
+    out = W.moving_average(li, "l_extendedprice", LI_ORDER, 10, out="ma_10")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("ma_10", 4).alias("ma_10"))
 
 
@@ -176,7 +176,7 @@ FROM r GROUP BY 1, 2""")
 def a30_mean_return_per_weekday(spark, d):
     s = silver(spark, d)
     r = W.rolling(s, ["Date"], {"prev": lambda w: F.first("Price").over(w)}, -1, -1, SERIES)
-    r = r.withColumn("ret", F.col("Price") / F.col("prev") - F.lit(1.0))
+    r = r.withColumn("ret", F.try_divide("Price", "prev") - F.lit(1.0))  # no return after a price of 0
     out = agg.mean_per_weekday(r, "Date", "ret", key=[SERIES], out="mean_return")
     return out.withColumn("mean_return", F.round("mean_return", 6))
 

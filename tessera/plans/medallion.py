@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import bounded_broadcast
 from tessera.operators.windows import fill_sentinel_with_previous_mean, moving_average
 
 # Raw price file columns the cleaning job drops.
@@ -48,11 +47,11 @@ def mean_per_date(df: DataFrame, date_col: str, value_col: str, out: str,
 def enrich_with_trend(silver: DataFrame, trend: DataFrame, trend_value_col: str,
                       date_col: str = "Date", price_col: str = "Price",
                       trend_date_col: str = "Settimana", n: int = 10, series=None,
-                      trend_max_rows: int = 1_000_000, **kw) -> DataFrame:
+                      **kw) -> DataFrame:
     """Silver + weekly index text -> gold ``(data, prezzo, indice_google_trend)``.
 
-    The weekly index has one row per week (and series); it is broadcast when
-    a bounded count confirms at most ``trend_max_rows`` rows, else shuffled.
+    The weekly index has one row per week (and series); Spark broadcasts it if
+    its measured size allows. Building the plan runs no job.
     """
     keys = _series(series)
     ma = moving_average(silver, price_col, [date_col], n, partition_by=keys or None,
@@ -60,7 +59,6 @@ def enrich_with_trend(silver: DataFrame, trend: DataFrame, trend_value_col: str,
     per_date = mean_per_date(ma, date_col, "Price_MA_10", "Weekly_Price_MA", keys)
     t = trend.select(*keys, F.try_to_date(F.col(trend_date_col), "yyyy-MM-dd").alias("data"),
                      F.col(trend_value_col).alias("__trend"))
-    t = bounded_broadcast(t, trend_max_rows)
     cond = [per_date[k] == t[k] for k in keys] + [per_date[date_col] == t["data"]]
     j = per_date.join(t, cond, "inner")                                    # J4
     return j.select(*[per_date[k] for k in keys], t["data"],

@@ -41,7 +41,7 @@ def test_sentinel_fill(spark):
     prices = [1, 2, -1, 4, 5, -1, 7]
     df = spark.createDataFrame([(i, float(p)) for i, p in enumerate(prices)], "d int, price double")
     for strategy in ("halo", "window"):
-        kw = {"bucket_rows": 6} if strategy == "halo" else {"strategy": "window"}
+        kw = {"ranges": 6} if strategy == "halo" else {"strategy": "window"}
         out = W.fill_sentinel_with_previous_mean(df.withColumn("s", F.lit(1)), "price", ["d"], -1, 5,
                                                  partition_by="s", **kw)
         assert [r.price for r in out.orderBy("d").collect()] == [1, 2, 1.5, 4, 5, 3, 7]

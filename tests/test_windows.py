@@ -17,7 +17,7 @@ def _data(spark, n=300, series=3):
 def test_rolling_matches_window(spark):
     df = _data(spark)
     for lo, hi in ((-9, 0), (-5, -1), (-2, 3)):
-        got = W.rolling(df, ["t"], {"m": lambda w: F.avg("v").over(w)}, lo, hi, "s", bucket_rows=17)
+        got = W.rolling(df, ["t"], {"m": lambda w: F.avg("v").over(w)}, lo, hi, "s", ranges=17)
         w = Window.partitionBy("s").orderBy("t").rowsBetween(lo, hi)
         exp = df.withColumn("m", F.avg("v").over(w))
         a = sorted((r.s, r.t, round(r.m, 9) if r.m is not None else None) for r in got.collect())
@@ -27,7 +27,7 @@ def test_rolling_matches_window(spark):
 
 def test_rolling_unpartitioned(spark):
     df = _data(spark, 200, 1).drop("s")
-    got = W.moving_average(df, "v", ["t"], 10, out="m", bucket_rows=13)
+    got = W.moving_average(df, "v", ["t"], 10, out="m", ranges=13)
     exp = df.withColumn("m", F.avg("v").over(Window.orderBy("t").rowsBetween(-9, 0)))
     assert sorted((r.t, round(r.m, 9)) for r in got.collect()) == sorted((r.t, round(r.m, 9)) for r in exp.collect())
 
@@ -87,7 +87,7 @@ def test_rolling_property(spark):
         rows = [(s, i, rnd.uniform(-5, 5)) for s in range(series) for i in range(n)]
         df = spark.createDataFrame(rows, "s int, t int, v double")
         got = W.rolling(df, ["t"], {"m": lambda w: F.sum("v").over(w)}, lo, hi, "s",
-                        bucket_rows=bucket, strategy="halo")
+                        ranges=bucket, strategy="halo")
         exp = df.withColumn("m", F.sum("v").over(Window.partitionBy("s").orderBy("t").rowsBetween(lo, hi)))
         key = lambda r: (r.s, r.t, None if r.m is None else round(r.m, 9))
         assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, exp.collect()), key=repr)
@@ -115,3 +115,40 @@ def test_division_by_zero_is_defined(spark):
     assert W.extreme_moves(flat, "d", "p").count() == 0
     zero = spark.createDataFrame([("2024-01-01", 0.0), ("2024-02-01", 3.0)], "d string, p double").withColumn("d", F.to_date("d"))
     assert [r["period_return"] for r in W.period_returns(zero, "d", "p").orderBy("period").collect()] == [None, None]
+
+
+def test_rolling_is_one_shuffle_and_no_job_to_build(spark, capsys):
+    import re
+
+    df = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_003).alias("t"), (F.col("id") % 1000).cast("double").alias("v"), F.lit("payload").alias("p"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    got = W.rolling(W.rolling(df, ["t"], {"m": lambda w: F.avg("v").over(w)}, -5, -1), ["t"], {"q": lambda w: F.sum("v").over(w)}, -3, 2)
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("run", "run")
+    one = W.rolling(df, ["t"], {"m": lambda w: F.avg("v").over(w)}, -5, -1)
+    one.explain("formatted")
+    plan = capsys.readouterr().out.split("Subqueries")[0]
+    moves = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: (\w+)", plan)
+    # rows of the table move once; the edges move as at most k rows a range and task, then as one list a range
+    assert sum("hashpartitioning" in how for _, how in moves) == 2 and "RoundRobin" not in plan
+    w = Window.orderBy("t")
+    want = df.withColumn("m", F.avg("v").over(w.rowsBetween(-5, -1))).withColumn("q", F.sum("v").over(w.rowsBetween(-3, 2)))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_rolling_over_few_rows_and_many_ranges(spark):
+    for n in (0, 1, 3, 40):
+        df = spark.range(n).select((F.col("id") * 3).alias("t"), F.col("id").cast("double").alias("v"))
+        for lo, hi in ((-7, 0), (-2, 5), (1, 4)):
+            got = W.rolling(df, ["t"], {"s": lambda w: F.sum("v").over(w)}, lo, hi, ranges=33)
+            want = df.withColumn("s", F.sum("v").over(Window.orderBy("t").rowsBetween(lo, hi)))
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_rolling_with_null_keys(spark):
+    rows = [(None if i % 3 == 0 else "b" if i % 3 == 1 else "a", i, float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    got = W.rolling(df, ["t"], {"m": lambda w: F.sum("v").over(w)}, -4, 1, "s", ranges=9)
+    want = df.withColumn("m", F.sum("v").over(Window.partitionBy("s").orderBy("t").rowsBetween(-4, 1)))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
