@@ -5,10 +5,9 @@ passes, never one job per column:
 
 * moments (count, mean, sd, min, max, skewness, correlations, regression
   lines) - one ``agg`` over the wide table, partial aggregation per task;
-* exact quantiles - one range sort of the stacked ``(column, value)`` rows,
-  a global rank (W4) and a lookup of the two ranks around each quantile.
-  Nothing is collected per group, so a column of 100 TB quantiles the same
-  way as a small one. ``method="approx"`` uses ``percentile_approx`` instead.
+* exact quantiles - rounds of two aggregations that narrow down the wanted
+  ranks; no value is shuffled or sorted beyond the last few.
+  ``method="approx"`` uses ``percentile_approx`` instead.
 
 Results are small long-form frames: one row per column (or column pair).
 """
@@ -16,14 +15,12 @@ Results are small long-form frames: one row per column (or column pair).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.comoments import correlations
-from tessera.operators.partitioning import spread
-from tessera.operators.windows import global_index
 
 
 def _q(name):
@@ -36,10 +33,17 @@ def _num(name):
     return F.nanvl(x, F.lit(None).cast("double"))
 
 
-def stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Wide -> long ``(*keep, column, value)`` with value as DOUBLE."""
-    narrow = spread(df.select(*[_q(k) for k in keep], *[_q(c).cast("double").alias(c) for c in cols]))
-    return narrow.unpivot(list(keep), list(cols), "column", "value")
+def _values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, value)`` of all present values, made row by row (no shuffle)."""
+    wide = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _num(c).alias("value")) for c in cols])).alias("x")
+    return df.select(wide).select("x.*").where(F.col("value").isNotNull())
+
+
+def _long(df: DataFrame, cols: Sequence[str], fields: dict[str, Callable[[int], Column]]) -> DataFrame:
+    """One row per column from a single wide row: ``fields`` maps an output
+    name to a function of the column's place."""
+    rows = [F.struct(F.lit(c).alias("column"), *[make(i).alias(name) for name, make in fields.items()]) for i, c in enumerate(cols)]
+    return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -57,128 +61,104 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.select(rows.alias("r")).select("r.*")
 
 
+#: Values between two bounds that are few enough to be sorted in one row.
+FEW = 10_000
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = (0.25, 0.5, 0.75),
-              method: str = "exact", accuracy: int = 10000, buckets: int = 64,
-              window_limit: int = 5_000_000) -> DataFrame:
+              method: str = "exact", accuracy: int = 1000, few: int = FEW) -> DataFrame:
     """``(column, q, value)``: linear-interpolated quantiles (pandas / DuckDB
     ``quantile_cont``), NULL and NaN ignored.
 
-    ``exact`` needs no global sort: approximate bucket edges per column (one
-    aggregation), a Bucketizer, then counts per (column, bucket, value) with
-    partial aggregation (a hot value is one row). Bucket totals (columns x
-    buckets numbers) locate the bucket of every wanted rank, and only those
-    few buckets are ranked exactly: with a window over their distinct values
-    when every such bucket holds at most ``window_limit`` rows, otherwise with
-    the distributed sort (W4) of just those buckets' rows. ``sort`` ranks all values with one global sort (W4); ``approx``
-    is ``percentile_approx``.
+    ``exact`` finds the values at the wanted ranks in rounds: a round takes
+    approximate quantiles a little below and above each rank, counts the values
+    on either side of these bounds, and goes on between them - a few parts in
+    ``accuracy`` of the values are left - until one bound is the value or at
+    most ``few`` values remain, which are sorted. A round is two aggregations
+    of the wide table for all columns and ranks; no value is shuffled.
+    ``approx`` is ``percentile_approx``.
     """
     cols = list(cols)
     if method == "approx":
-        one = df.agg(*[F.percentile_approx(_q(c).cast("double"), list(qs), accuracy).alias(f"p{i}")
-                       for i, c in enumerate(cols)])
+        one = df.agg(*[F.percentile_approx(_num(c), list(qs), accuracy * 10).alias(f"p{i}") for i, c in enumerate(cols)])
         rows = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.lit(q).alias("q"), F.col(f"p{i}")[j].alias("value"))
+            F.struct(F.lit(c).alias("column"), F.lit(float(q)).alias("q"), F.col(f"p{i}")[j].alias("value"))
             for i, c in enumerate(cols) for j, q in enumerate(qs)]))
         return one.select(rows.alias("r")).select("r.*")
-    if method == "sort":
-        return _quantiles_by_sort(df, cols, qs)
-    return _quantiles_by_buckets(df, cols, qs, buckets, min(accuracy, 1000), window_limit)
-
-
-def _wanted_ranks(n: int, qs):
+    if method != "exact":
+        raise ValueError(method)
+    clean = df.select(*[_num(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    counts = clean.agg(*[F.count(c).alias(c) for c in clean.columns]).first() if cols else []
+    ranks = {(i, r) for i, n in enumerate(counts) if n for q in qs for r in _ranks(n, q)[:2]}
+    found = _values_at_ranks(clean, ranks, list(counts), accuracy, few)
     out = []
-    for q in qs:
-        h = (n - 1) * q
-        lo = math.floor(h)
-        out.append((q, lo, math.ceil(h), h - lo))
-    return out
-
-
-def _quantiles_by_buckets(df, cols, qs, buckets, accuracy, window_limit):
-    from pyspark.ml.feature import Bucketizer
-    spark = df.sparkSession
-    clean = df.select(*[F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")).alias(f"v{i}")
-                        for i, c in enumerate(cols)])
-    probs = [i / buckets for i in range(1, buckets)]
-    edges_row = clean.agg(*[F.percentile_approx(f"v{i}", probs, accuracy).alias(f"e{i}")
-                            for i in range(len(cols))]).collect()[0]
-    splits = []
-    for i in range(len(cols)):
-        inner = sorted(set(x for x in (edges_row[f"e{i}"] or []) if x is not None)) or [0.0]
-        splits.append([-math.inf] + inner + [math.inf])  # Bucketizer needs one inner edge at least
-    bz = Bucketizer(splitsArray=splits, inputCols=[f"v{i}" for i in range(len(cols))],
-                    outputCols=[f"b{i}" for i in range(len(cols))], handleInvalid="keep")
-    tagged = bz.transform(clean)
-    long = tagged.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.col(f"b{i}").cast("int").alias("bucket"), F.col(f"v{i}").alias("value"))
-        for i in range(len(cols))])).alias("x")).select("x.*").where(F.col("value").isNotNull())
-    freq = long.groupBy("ci", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    # bucket totals: at most len(cols) x buckets rows, a bounded driver result
-    totals, sizes = {}, {}
-    for r in freq.groupBy("ci", "bucket").agg(F.sum("n").alias("n")).collect():
-        totals.setdefault(r["ci"], []).append((r["bucket"], r["n"]))
-        sizes[(r["ci"], r["bucket"])] = r["n"]
-    targets = []   # (ci, bucket, q, role, local_rank, frac)
-    for ci, lst in totals.items():
-        lst.sort()
-        n_c = sum(n for _, n in lst)
-        starts, acc = [], 0
-        for b, n in lst:
-            starts.append((b, acc, n))
-            acc += n
-        for q, r_lo, r_hi, frac in _wanted_ranks(n_c, qs):
-            for role, r in (("lo", r_lo), ("hi", r_hi)):
-                for b, s0, n in starts:
-                    if s0 <= r < s0 + n:
-                        targets.append((ci, b, float(q), role, r - s0, frac))
-                        break
-    if not targets:
-        return spark.createDataFrame([], "column string, q double, value double")
-    want = spark.createDataFrame(targets, "ci int, bucket int, q double, role string, lr long, frac double")
-    keys = want.select("ci", "bucket").distinct()
-    if max(sizes[(t[0], t[1])] for t in targets) <= window_limit:
-        from pyspark.sql import Window
-        w = Window.partitionBy("ci", "bucket").orderBy("value")
-        ranked = (freq.join(F.broadcast(keys), ["ci", "bucket"], "left_semi")
-                  .withColumn("c1", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                  .withColumn("c0", F.col("c1") - F.col("n")))
-    else:  # big target buckets: distributed sort of their rows only
-        rows = long.join(F.broadcast(keys), ["ci", "bucket"], "left_semi")
-        idx = global_index(rows, ["ci", "bucket", "value"], out="__i", start=0)
-        first = idx.groupBy("ci", "bucket").agg(F.min("__i").alias("__f"))
-        ranked = idx.join(F.broadcast(first), ["ci", "bucket"]).select(
-            "ci", "bucket", "value", (F.col("__i") - F.col("__f")).alias("c0"),
-            (F.col("__i") - F.col("__f") + 1).alias("c1"))
-    hit = ranked.join(F.broadcast(want), ["ci", "bucket"]).where(
-        (F.col("lr") >= F.col("c0")) & (F.col("lr") < F.col("c1")))
-    per = hit.groupBy("ci", "q").agg(F.max(F.when(F.col("role") == "lo", F.col("value"))).alias("v_lo"),
-                                     F.max(F.when(F.col("role") == "hi", F.col("value"))).alias("v_hi"),
-                                     F.max("frac").alias("frac"))
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("ci") + 1)
-    return per.select(names.alias("column"), "q",
-                      (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
-
-
-def _quantiles_by_sort(df, cols, qs):
-    long = stack(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    ranked = global_index(long, ["column", "value"], out="__rank", start=0)
-    counts = ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("__rank").alias("first"))
-    qtab = counts.select("column", "n", "first",
-                         F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-    h = (F.col("n") - 1) * F.col("q")
-    wanted = qtab.select(F.col("column").alias("w_column"), "q",
-                         (F.col("first") + F.floor(h)).alias("r_lo"),
-                         (F.col("first") + F.ceil(h)).alias("r_hi"), (h - F.floor(h)).alias("frac"))
-    picks = ranked.select(F.col("column").alias("p_column"), F.col("__rank").alias("p_rank"), "value")
-    # at most 2 x len(qs) x len(cols) wanted rows: broadcast
-    lo = picks.join(F.broadcast(wanted), (F.col("p_column") == F.col("w_column")) &
-                    (F.col("p_rank") == F.col("r_lo"))).select(
-        F.col("w_column").alias("column"), "q", "frac", F.col("value").alias("v_lo"))
-    hi = picks.join(F.broadcast(wanted), (F.col("p_column") == F.col("w_column")) &
-                    (F.col("p_rank") == F.col("r_hi"))).select(
-        F.col("w_column").alias("column"), "q", F.col("value").alias("v_hi"))
-    j = lo.join(hi, ["column", "q"])
-    return j.select("column", "q", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+    for i, n in enumerate(counts):
+        for q in qs if n else ():
+            low, high, part = _ranks(n, q)
+            a, b = found[i, low], found[i, high]
+            out.append((cols[i], float(q), a + part * (b - a) if a != b else a))
+    return df.sparkSession.createDataFrame(out, "column string, q double, value double")
+
+
+def _ranks(n: int, q: float) -> tuple[int, int, float]:
+    """Ranks (from 0) below and above a quantile of ``n`` values, and its place between them."""
+    h = (n - 1) * q
+    return math.floor(h), math.ceil(h), h - math.floor(h)
+
+
+def _values_at_ranks(clean: DataFrame, ranks: set[tuple[int, int]], counts: list[int], accuracy: int, few: int) -> dict:
+    """Value at each (column place, rank). ``clean`` has columns v0, v1, ... of
+    doubles without NaN, ``counts`` their numbers of values."""
+    found: dict[tuple[int, int], float] = {}
+    # the rank lies between two values (exclusive; None: open end), with so many values up to the first and so many between
+    state = {t: (None, None, 0, counts[t[0]]) for t in ranks}
+
+    def within(i: int, low: float | None, high: float | None) -> Column:
+        v = F.col(f"v{i}")
+        inside = F.lit(True) if low is None else v > F.lit(low)
+        return F.when(inside if high is None else inside & (v < F.lit(high)), v)
+
+    while state:
+        spans: dict[tuple, list] = {}
+        for (i, r), (low, high, before, inside) in state.items():
+            spans.setdefault((i, low, high, before, inside), []).append(r)
+        aggs, wide = [], []
+        for k, ((i, low, high, before, inside), rs) in enumerate(spans.items()):
+            v = within(i, low, high)
+            if inside <= few:
+                ordered = F.array_sort(F.collect_list(v))
+                aggs.append(F.array(*[F.get(ordered, F.lit(r - before)) for r in rs]).alias(f"s{k}"))
+            else:
+                near = [min(1.0, max(0.0, (r - before + 0.5) / inside + d)) for r in rs for d in (-2 / accuracy, 2 / accuracy)]
+                aggs.append(F.percentile_approx(v, near, accuracy).alias(f"s{k}"))
+        row = clean.agg(*aggs).first()
+        for k, ((i, low, high, before, inside), rs) in enumerate(spans.items()):
+            for j, r in enumerate(rs):
+                if inside <= few:
+                    found[i, r] = row[f"s{k}"][j]
+                    del state[i, r]
+                else:
+                    wide.append((i, r, *row[f"s{k}"][2 * j:2 * j + 2]))
+        bounds = sorted({(i, x) for i, _, a, b in wide for x in (a, b)})
+        if not bounds:
+            continue
+        sums = clean.agg(*[F.count_if(F.col(f"v{i}") < F.lit(x)).alias(f"l{k}") for k, (i, x) in enumerate(bounds)],
+                         *[F.count_if(F.col(f"v{i}") <= F.lit(x)).alias(f"u{k}") for k, (i, x) in enumerate(bounds)]).first()
+        under = {b: (sums[f"l{k}"], sums[f"u{k}"]) for k, b in enumerate(bounds)}
+        for i, r, a, b in wide:
+            low, high, before, inside = state.pop((i, r))
+            (less_a, upto_a), (less_b, upto_b) = under[i, a], under[i, b]
+            if r < less_a:
+                state[i, r] = (low, a, before, less_a - before)
+            elif r < upto_a:
+                found[i, r] = a
+            elif r < less_b:
+                state[i, r] = (a, b, upto_a, less_b - upto_a)
+            elif r < upto_b:
+                found[i, r] = b
+            else:
+                state[i, r] = (b, high, upto_b, before + inside - upto_b)
+    return found
 
 
 def describe(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
@@ -246,12 +226,14 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str =
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:
-    """Fences plus the number of values outside them, per column."""
-    f = iqr_fences(df, cols, k, method)
-    long = stack(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    out = long.join(F.broadcast(f.select("column", "lower", "upper")), "column").groupBy("column").agg(
-        F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("n_outliers"))
-    return f.join(out, "column", "left").withColumn("n_outliers", F.coalesce("n_outliers", F.lit(0).cast("long")))
+    """Fences plus the number of values outside them, per column (A23). The
+    fences are a few numbers per column; the values outside are counted for all
+    columns in one pass."""
+    rows = {r["column"]: r for r in iqr_fences(df, cols, k, method).collect()}
+    outside = [F.count_if((_num(c) < F.lit(rows[c]["lower"])) | (_num(c) > F.lit(rows[c]["upper"]))) for c in cols]
+    one = df.agg(*[x.alias(f"o{i}") for i, x in enumerate(outside)])
+    fields = {name: (lambda i, name=name: F.lit(rows[cols[i]][name]).cast("double")) for name in ("q1", "q3", "iqr", "lower", "upper")}
+    return _long(one, cols, {**fields, "n_outliers": lambda i: F.col(f"o{i}")})
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str = "exact") -> DataFrame:
@@ -272,12 +254,13 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     """``(column, bin, lower, upper, count)`` with ``bins`` equal-width bins
     between each column's min and max, the last bin closed (numpy) (A24).
     Empty bins are listed with count 0."""
-    long = stack(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    rng = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    ends = df.agg(*[F.min(_num(c)).alias(f"lo{i}") for i, c in enumerate(cols)], *[F.max(_num(c)).alias(f"hi{i}") for i, c in enumerate(cols)])
+    rng = _long(ends, cols, {"lo": lambda i: F.col(f"lo{i}"), "hi": lambda i: F.col(f"hi{i}")}).where("lo IS NOT NULL")
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    counts = long.join(F.broadcast(rng), "column").groupBy("column", b.alias("bin")).agg(
+    # one row per column is broadcast; the bins are counted in the tasks
+    counts = _values(df, cols).join(F.broadcast(rng), "column").groupBy("column", b.alias("bin")).agg(
         F.count(F.lit(1)).alias("count"))
     grid = rng.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return grid.join(counts, ["column", "bin"], "left").select(
