@@ -150,61 +150,81 @@ def yeo_johnson(x: Column, lam: float) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def _yeo_johnson_col(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson with lambda given as a column (one expression for a grid)."""
-    pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / lam)
-    neg = F.when(F.abs(lam - 2.0) < 1e-12, -F.log1p(-x)).otherwise(
-        -(F.pow(1.0 - x, 2.0 - lam) - 1.0) / (2.0 - lam))
-    return F.when(x >= 0, pos).otherwise(neg)
-
-
-def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -10.0, hi: float = 10.0,
-                    points: int = 21, resolution: float = 1e-5) -> dict:
-    """Maximum-likelihood lambda per column by a zooming grid.
-
-    Log-likelihood (as scikit-learn): ``-n/2 log var(y_lambda) + (lambda-1)
-    sum sign(x) log1p|x|``. Each pass stacks the columns, pairs every value
-    with its column's lambda grid (``explode`` of a small array, no join) and
-    takes the variance per (column, lambda) with a partial aggregation.
-    ``lo`` and ``hi`` only begin the search: while the best lambda is an end
-    of the grid the grid moves outward and grows fourfold, then it narrows 10x
-    a pass around the best until its step is ``resolution`` (relative to a
-    lambda beyond 1).
+def _power_slope(size: Column, power: float) -> Column:
+    """Derivative by ``power`` of (exp(power * size) - 1) / power."""
+    if abs(power) < 1e-5:
+        return size * size / 2 + size * size * size * (power / 3)
+    return (size * F.exp(size * power) - F.expm1(size * power) / power) / power
+
+
+def yeo_johnson_slope(x: Column, lam: float) -> Column:
+    """Derivative of the Yeo-Johnson transform of a column by lambda."""
+    return F.when(x >= 0, _power_slope(F.log1p(x), lam)).otherwise(_power_slope(F.log1p(-x), 2.0 - lam))
+
+
+def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], resolution: float = 1e-5, max_rounds: int = 100) -> dict:
+    """Maximum-likelihood lambda per column, as the root of the derivative of
+    the log-likelihood ``-n/2 log var(y) + (lambda-1) sum sign(x) log1p|x|``,
+    which is ``-n cov(y, dy/dlambda) / var(y) + sum sign(x) log1p|x|``.
+
+    A round evaluates the derivative at a few lambdas of every column - all in
+    one aggregation of the wide table, with centred variances and covariances -
+    and keeps the two between which it changes sign: first on a fixed grid that
+    moves outward fourfold while there is no such change, then around the point
+    where the line between both ends meets zero. It ends when a bracket is
+    ``resolution`` wide (relative to a lambda beyond 1). A column without
+    variation keeps lambda 1; a column without values has none.
     """
     cols = list(cols)
     if not cols:
         return {}
-    long = (df.select(*[_present(df, c).cast("double").alias(c) for c in cols])
-              .unpivot([], cols, "column", "x").where(F.col("x").isNotNull()).cache())
+    clean = df.select(*[F.nanvl(_q(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)]).cache()
     try:
-        base = {r["column"]: (r["n"], r["l"]) for r in long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("l")).collect()}
-        grids = {c: np.linspace(lo, hi, points) for c in cols if c in base}
-        best = {c: (-math.inf, 1.0) for c in cols}
-        while grids:
-            grid_map = F.create_map(*[e for c, g in grids.items() for e in (F.lit(c), F.array(*[F.lit(float(v)) for v in g]))])
-            ex = long.where(F.col("column").isin(*grids)).select(
-                "column", "x", F.posexplode(F.element_at(grid_map, F.col("column"))).alias("i", "lam"))
-            found = ex.groupBy("column", "i", "lam").agg(F.var_pop(_yeo_johnson_col(F.col("x"), F.col("lam"))).alias("var")).collect()
-            rest = {}
-            for c, grid in grids.items():
-                n, lsum = base[c]
-                scores = [(-n / 2 * math.log(r["var"]) + (r["lam"] - 1) * lsum, r["lam"], r["i"]) for r in found
-                          if r["column"] == c and r["var"] is not None and 0 < r["var"] < math.inf]
-                if not scores:  # a constant column: any lambda is as good
+        x = [F.col(f"x{i}") for i in range(len(cols))]
+        base = _one_row(clean, [F.count(c).alias(f"n{i}") for i, c in enumerate(x)] + [(F.max(c) > F.min(c)).alias(f"v{i}") for i, c in enumerate(x)]
+                        + [F.avg(F.signum(c) * F.log1p(F.abs(c))).alias(f"l{i}") for i, c in enumerate(x)])
+        best = {i: 1.0 for i in range(len(cols)) if base[f"n{i}"]}
+        points = {i: [-2.0, 0.0, 1.0, 2.0, 4.0] for i in best if base[f"v{i}"]}
+        ends: dict[int, list] = {i: [(-math.inf, math.inf), (math.inf, -math.inf)] for i in points}  # (lambda, slope)
+        for _ in range(max_rounds):
+            if not points:
+                break
+            aggs = []
+            for i, lams in points.items():
+                for k, lam in enumerate(lams):
+                    # a transform beyond the range of doubles gives no number: the lambda is too far out
+                    y, dy = yeo_johnson(x[i], lam), yeo_johnson_slope(x[i], lam)
+                    aggs += [F.var_pop(y).alias(f"v{i}_{k}"), F.covar_pop(y, dy).alias(f"c{i}_{k}")]
+            row = _one_row(clean, aggs)
+            for i, lams in list(points.items()):
+                for k, lam in enumerate(lams):
+                    var, cov = row[f"v{i}_{k}"], row[f"c{i}_{k}"]
+                    usable = var is not None and 0 < var < math.inf and cov is not None and math.isfinite(cov)
+                    slope = base[f"l{i}"] - cov / var if usable else math.copysign(math.inf, 1 - lam)
+                    low, high = ends[i]
+                    if slope >= 0 and lam > low[0]:
+                        ends[i][0] = (lam, slope)
+                    if slope <= 0 and lam < high[0]:
+                        ends[i][1] = (lam, slope)
+                (a, fa), (b, fb) = ends[i]
+                if math.isinf(a) or math.isinf(b):  # no change of sign yet
+                    edge = b if math.isinf(a) else a
+                    step = -max(4.0, 3 * abs(edge)) if math.isinf(a) else max(4.0, 3 * abs(edge))
+                    points[i] = [edge + step, edge + 4 * step]
+                    continue
+                middle = (a + b) / 2
+                guess = (a * fb - b * fa) / (fb - fa) if math.isfinite(fa) and math.isfinite(fb) and fb != fa else middle
+                best[i] = guess
+                if b - a <= resolution * max(1.0, abs(guess)):
+                    del points[i]
                     continue
-                top, step = max(scores), float(grid[1] - grid[0])
-                better = top[0] > best[c][0]
-                best[c] = max(best[c], top[:2])
-                if better and top[2] in (0, points - 1):
-                    far = top[1] + (4 if top[2] else -4) * (grid[-1] - grid[0])
-                    rest[c] = np.linspace(*sorted((top[1], far)), points)
-                elif step > resolution * max(1.0, abs(best[c][1])) * 1.5:
-                    rest[c] = np.linspace(best[c][1] - step, best[c][1] + step, points)
-            grids = rest
-        return {c: float(lam) for c, (_, lam) in best.items()}
+                near = max((b - a) / 50, resolution / 4)
+                points[i] = sorted({p for p in (guess - near, guess, guess + near, middle) if a < p < b})
+                if not points[i]:
+                    del points[i]
+        return {cols[i]: float(lam) for i, lam in best.items()}
     finally:
-        long.unpersist()
+        clean.unpersist()
 
 
 class PowerTransformerModel(ColumnsModel):

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tessera.operators import quality as Q
 from tessera.plans.bindings.quality import LEDGER_SQL, VALIDATED_SQL, ledger
 from tessera.plans.registry import query, table
-from tessera.session import scratch_path
+from tessera.session import scratch_path, write_table
 from tessera.sources import io
 from tessera.streaming import ingest
 
@@ -101,12 +101,35 @@ def s15_dataset_metadata(spark, d):
 
 @query("s16_write_with_metadata", "SELECT * FROM supplier")
 def s16_write_with_metadata(spark, d):
-    s = table(spark, d, "supplier")
     path = _scratch(spark, "supplier-out")
-    io.write_with_metadata(s, path, io.dataset_metadata(s))
+    io.write_with_manifest(table(spark, d, "supplier"), path, f"{d.rstrip('/')}/supplier.parquet")
     return spark.read.parquet(path)
 
 
+@query("s16_output_manifest", """WITH c AS (SELECT CAST(count(*) AS VARCHAR) AS n FROM (DESCRIBE supplier))
+SELECT * FROM (VALUES ('OriginalFileSize', 'size of the files'), ('OriginalFileLastModified', 'last modification of the files'),
+    ('OriginalFileName', 'supplier.parquet'), ('OriginalFileCustomMetadata_Author', 'o''neil'), ('OriginalFileCustomMetadata_Format', 'Parquet'),
+    ('OutputFileColumnNumber', '2'), ('OutputFileSize', 'size of the files'), ('OutputFileLastModified', 'last modification of the files')) AS t(key, value)
+UNION ALL SELECT 'OriginalFileColumnNumber', n FROM c""")
+def s16_output_manifest(spark, d):
+    """The nine entries, read back from the table's properties; sizes and times
+    are replaced by words where they equal a listing of the files."""
+    source, path, name = f"{d.rstrip('/')}/supplier.parquet", _scratch(spark, "supplier-manifest"), f"tessera_manifest_{uuid.uuid4().hex[:12]}"
+    s = table(spark, d, "supplier")
+    saved = io.write_with_manifest(s.select(*s.columns[:2]), path, source, "o'neil", "Parquet", name)
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key").isin(*io.MANIFEST_KEYS))
+    rows = {r["key"]: r["value"] for r in properties.collect()}
+    spark.sql(f"DROP TABLE {name}")
+    assert rows == {r["key"]: r["value"] for r in saved.collect()}
+    for side, files in (("Original", io.list_files(spark, source)), ("Output", io.list_files(spark, path, "*.parquet"))):
+        size, last = files.agg(F.sum("length"), F.max("modificationTime")).first()
+        if rows[f"{side}FileSize"] == str(size):
+            rows[f"{side}FileSize"] = "size of the files"
+        if rows[f"{side}FileLastModified"] == last.isoformat():
+            rows[f"{side}FileLastModified"] = "last modification of the files"
+    return spark.createDataFrame(list(rows.items()), "key string, value string")
+
+
 EVENT_CSV = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
                           T.StructField("value", T.DoubleType())])
 
@@ -126,6 +149,46 @@ def r1_incremental_load(spark, d):
     return ingest.read_target(spark, tgt)
 
 
+# seven clinical tables made of orders, customers and events; both sides use these expressions
+_CLINIC = {
+    "pazienti": ("customer", ["CAST(c_custkey AS INT)", "c_name", "c_mktsegment", "DATE '1980-01-31'", "'F'", "c_name", "'Via, \"1\"'"]),
+    "ricoveri": ("orders", ["CAST(o_orderkey AS INT)", "CAST(o_custkey AS INT)", "CAST(o_orderdate AS DATE)", "CAST(NULL AS DATE)", "o_orderpriority", "o_orderstatus"]),
+    "visite": ("orders", ["CAST(o_orderkey AS INT)", "CAST(o_custkey AS INT)", "CAST(o_orderdate AS DATE)", "o_orderstatus", "o_orderpriority", "'a, b'"]),
+    "terapie": ("orders", ["CAST(o_orderkey AS INT)", "CAST(o_custkey AS INT)", "CAST(o_orderdate AS DATE)", "CAST(o_orderdate AS DATE)", "o_orderpriority", "o_orderstatus", "'x'"]),
+    "sensori_iot": ("events", ["CAST(event_id AS INT)", "CAST(event_id AS INT)", "TIMESTAMP '2024-01-02 03:04:05'", "event_type", "'120/80'", "'mmHg'"]),
+    "utenti": ("customer", ["CAST(c_custkey AS INT)", "c_name", "c_mktsegment", "c_name", "c_mktsegment", "'it'"]),
+    "accessi_log": ("events", ["CAST(event_id AS INT)", "CAST(event_id AS INT)", "CAST(event_id AS INT)", "TIMESTAMP '2024-01-02 03:04:05'", "event_type"]),
+}
+
+
+@query("r1_seven_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS n, CAST(sum({cols[0]}) AS BIGINT) AS ids, count({cols[3]}) AS fourth, min(CAST({cols[4]} AS VARCHAR)) AS least FROM {src}"
+    for t, (src, cols) in _CLINIC.items()))
+def r1_seven_tables(spark, d):
+    """Seven tables in two drops and a third run that finds nothing; then one
+    table's file is written again with the same rows, which is no change."""
+    from tessera.sources.schemas import CLINICAL
+    base = _scratch(spark, "clinic")
+    schemas = {t: CLINICAL[t] for t in _CLINIC}
+    for half in (0, 1):
+        for t, (src, cols) in _CLINIC.items():
+            rows = table(spark, d, src)
+            key = F.crc32(F.col(rows.columns[0]).cast("string").cast("binary")) % 2
+            out = rows.where(key == half).selectExpr(*[f"{c} AS {n}" for c, n in zip(cols, schemas[t].names)])
+            out.write.mode("append").options(header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss").csv(f"{base}/in/{t}")
+        ingest.load_tables(spark, f"{base}/in", schemas, f"{base}/out", f"{base}/state")
+    assert not any(ingest.load_tables(spark, f"{base}/in", schemas, f"{base}/out", f"{base}/state").values())
+    parts = []
+    for t in _CLINIC:
+        x, names = ingest.read_target(spark, f"{base}/out/{t}"), schemas[t].names
+        parts.append(x.agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("n"), F.sum(names[0]).alias("ids"), F.count(names[3]).alias("fourth"),
+                           F.min(F.col(names[4]).cast("string")).alias("least")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 @query("r2_load_report", """SELECT CAST(count(*) AS INTEGER) AS "Totale_Ricoveri", CAST(0 AS BIGINT) AS batch_id
     FROM events""")
 def r2_load_report(spark, d):
@@ -151,7 +214,9 @@ def s7_load_to_warehouse_table(spark, d):
     path = _scratch(spark, name)
     typed.limit(0).write.option("path", path).saveAsTable(name)   # declare (S11-style), then append (S7)
     load_to_table(typed, name, mode="append")
-    return spark.table(name)
+    loaded = spark.read.schema(spark.table(name).schema).parquet(path)
+    spark.sql(f"DROP TABLE {name}")   # external: its files stay in the scratch folder
+    return loaded
 
 
 @query("s11_declared_clinical_table", """SELECT CAST(o_orderkey AS INTEGER) AS "ID_Ricovero", CAST(o_custkey AS INTEGER) AS "ID_Paziente",
@@ -166,7 +231,9 @@ def s11_declared_clinical_table(spark, d):
     rows = o.select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"), F.to_date("o_orderdate"),
                     F.date_add(F.to_date("o_orderdate"), 3), F.col("o_orderpriority"), F.col("o_orderstatus"))
     rows.write.insertInto(f"{db}.ricoveri")
-    return spark.table(f"{db}.ricoveri")
+    loaded = write_table(spark.table(f"{db}.ricoveri"), "ricoveri")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return loaded
 
 
 @query("s13_drifting_csv_source", """SELECT CAST(p_partkey AS VARCHAR) AS movies, p_type AS "genresgenregenre",

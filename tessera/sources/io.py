@@ -195,9 +195,49 @@ def dataset_metadata(df: DataFrame) -> DataFrame:
 
 
 # S16
-def write_with_metadata(df: DataFrame, path: str, input_meta: DataFrame) -> None:
-    """Write the dataset and, beside it, a ``_dataset_metadata`` folder with
-    the input metadata and the output column count."""
+#: Fixed names of the nine entries of a manifest.
+MANIFEST_KEYS = ("OriginalFileColumnNumber", "OriginalFileSize", "OriginalFileLastModified", "OriginalFileName",
+                 "OriginalFileCustomMetadata_Author", "OriginalFileCustomMetadata_Format",
+                 "OutputFileColumnNumber", "OutputFileSize", "OutputFileLastModified")
+
+
+def _file_totals(spark: SparkSession, path, glob: str | None = None):
+    """Number, summed size and last modification of the files of a dataset,
+    and the name of its first."""
+    return list_files(spark, path, glob).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("size"), F.max("modificationTime").alias("modified"),
+        F.min(F.element_at(F.split("path", "/"), -1)).alias("name")).first()
+
+
+def write_with_manifest(df: DataFrame, path: str, source: str, author: str | None = None, form: str | None = None,
+                        table: str | None = None, fmt: str = "parquet", **options) -> DataFrame:
+    """Write ``df`` and, after the commit, a manifest of what was read and what
+    was written; returns the manifest, ``(key, value)`` in nine rows.
+
+    The entries on the original come from the files of ``source`` (a dataset
+    of ``fmt``; the size is that of all its files, the name that of its file or
+    of the dataset's last path part if it has several) and from ``author`` and
+    ``form``; those on the output from the files that were written, so a
+    failed write leaves no manifest. It is saved as JSON lines in
+    ``<path>_manifest`` and, with ``table``, as properties of an external table
+    over ``path``. A value that is not known is NULL (and no table property).
+    """
+    spark = df.sparkSession
+    columns = len(spark.read.format(fmt).options(**options).load(source).columns)
+    before = _file_totals(spark, source)
     df.write.mode("overwrite").parquet(path)
-    meta = input_meta.withColumn("output_column_count", F.lit(len(df.columns)))
-    meta.coalesce(1).write.mode("overwrite").json(path.rstrip("/") + "_dataset_metadata")
+    after = _file_totals(spark, path, "*.parquet")
+    name = before["name"] if before["files"] == 1 else source.rstrip("/").rsplit("/", 1)[-1]
+    stamp = [t["modified"].isoformat() if t["modified"] else None for t in (before, after)]
+    values = [str(columns), str(before["size"] or 0), stamp[0], name, author, form,
+              str(len(spark.read.parquet(path).columns)), str(after["size"] or 0), stamp[1]]
+    manifest = spark.createDataFrame(list(zip(MANIFEST_KEYS, values)), "key string, value string")
+    target = path.rstrip("/") + "_manifest"
+    manifest.coalesce(1).write.mode("overwrite").json(target)
+    if table:
+        def quoted(text: str) -> str:
+            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        properties = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in zip(MANIFEST_KEYS, values) if v is not None)
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {quoted(path)} TBLPROPERTIES ({properties})")
+    return spark.read.schema("key string, value string").json(target)
+

@@ -275,3 +275,27 @@ def test_identical_knn_donors_are_dealt_evenly(spark, tmp_path):
     spark.createDataFrame([(1.0, 2.0)] * 5000, "a double, b double").write.parquet(path)
     sizes = spark.read.parquet(path).groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(50)).alias("b")).count()
     assert sizes.agg(F.max("count")).first()[0] <= 200
+
+
+def test_yeo_johnson_lambda_equals_the_best_of_numpy(spark):
+    """Small, large, negative and mixed values; columns with gaps, one value and none."""
+    from tessera.ml.prep import fit_yeo_johnson
+    rng = np.random.default_rng(8)
+    x = {"mixed": rng.normal(0, 3, 1500), "skewed": rng.exponential(2, 1500), "large": rng.lognormal(12, 1, 1500),
+         "small": rng.gamma(2, 1e-4, 1500), "left": -rng.exponential(5, 1500), "near0": np.expm1(rng.normal(4, .5, 1500))}
+    rows = [(*(float(v[i]) for v in x.values()), 3.0 if i % 2 else None, None, float("nan") if i % 2 else float(i)) for i in range(1500)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*x, "flat", "none", "holes"]))
+    lam = fit_yeo_johnson(df, df.columns)
+    assert lam["flat"] == 1.0 and "none" not in lam and np.isfinite(lam["holes"])
+
+    def likelihood(v, k):
+        with np.errstate(all="ignore"):
+            pos = np.log1p(np.maximum(v, 0)) if abs(k) < 1e-12 else np.expm1(k * np.log1p(np.maximum(v, 0))) / k
+            neg = -np.log1p(np.maximum(-v, 0)) if abs(k - 2) < 1e-12 else -np.expm1((2 - k) * np.log1p(np.maximum(-v, 0))) / (2 - k)
+            found = -len(v) / 2 * np.log(np.var(np.where(v >= 0, pos, neg))) + (k - 1) * (np.sign(v) * np.log1p(np.abs(v))).sum()
+            return found if np.isfinite(found) else -np.inf
+
+    for c, v in x.items():
+        step = max(1.0, abs(lam[c])) * 1e-2
+        assert likelihood(v, lam[c]) >= max(likelihood(v, lam[c] - step), likelihood(v, lam[c] + step)), (c, lam[c], [likelihood(v, lam[c] + d) for d in (-step, 0, step)])
+        assert likelihood(v, lam[c]) >= max(likelihood(v, k) for k in np.linspace(-5, 5, 400)) - 1e-4, (c, lam[c])
