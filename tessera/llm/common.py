@@ -23,6 +23,14 @@ def required(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it until none of the frames has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_slices(batch: pa.RecordBatch, column: str, max_chars: int = 1 << 20) -> Iterator[tuple[int, list]]:
     """(first row, texts) runs of a batch with about ``max_chars`` characters
     each; nulls stay ``None``. A longer text forms a run of its own."""
