@@ -61,12 +61,19 @@ def suffix_automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 class Transitions:
-    """Transitions of an automaton as a hash table with open addresses, so that
-    its size follows from the labelled text and not from the alphabet."""
+    """Transitions of an automaton: states x symbols in one array where that
+    has at most ``dense`` cells, else a hash table with open addresses, whose
+    size follows from the labelled text and not from the alphabet. Both give
+    the same states."""
 
     MIX = np.uint64(0x9E3779B97F4A7C15)
 
-    def __init__(self, state: np.ndarray, symbol: np.ndarray, to: np.ndarray, width: int):
+    def __init__(self, state: np.ndarray, symbol: np.ndarray, to: np.ndarray, width: int, dense: int = 1 << 23):
+        self.array, states = None, int(max(state.max(initial=0), to.max(initial=0))) + 1
+        if states * width <= dense:
+            self.width, self.array = width, np.zeros(states * width, np.int32)
+            self.array[state * width + symbol] = to
+            return
         self.width, self.bits = width, max(4, int(2 * len(state)).bit_length())
         self.keys, self.to = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
         key = state * width + symbol
@@ -84,6 +91,8 @@ class Transitions:
     def follow(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """Next states, 0 where there is no transition."""
         key = state * self.width + symbol
+        if self.array is not None:
+            return self.array[key]
         slot = self.slots(key)
         found = self.keys[slot]
         out = np.where(found == key, self.to[slot], 0)

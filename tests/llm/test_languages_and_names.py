@@ -58,12 +58,12 @@ def test_transitions_equal_the_automaton():
     rng = np.random.default_rng(1)
     text = rng.integers(1, 900, 3000)
     state, symbol, to = langid.suffix_automaton(text.tolist())
-    table = langid.Transitions(state, symbol, to, 1000)
-    assert (table.follow(state, symbol) == to).all()
+    table, array = langid.Transitions(state, symbol, to, 1000, dense=0), langid.Transitions(state, symbol, to, 1000)
+    assert (table.follow(state, symbol) == to).all() and array.array is not None and table.array is None
     pairs = set(zip(state.tolist(), symbol.tolist()))
     s, c = rng.integers(0, state.max() + 1, 5000), rng.integers(0, 1000, 5000)
     known = np.array([(a, b) in pairs for a, b in zip(s.tolist(), c.tolist())])
-    assert ((table.follow(s, c) > 0) == known).all()
+    assert ((table.follow(s, c) > 0) == known).all() and (table.follow(s, c) == array.follow(s, c)).all()
 
 
 def test_stages_over_clashing_columns(spark, tmp_path):
