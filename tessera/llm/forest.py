@@ -4,8 +4,9 @@ Vectors are dealt into shards of bounded size. Each shard holds a forest: per
 tree a sorted array of long hash strings (signs of random projections, the
 first the most significant bit). A query descends every tree to its longest
 matching prefix and then ascends all trees in step, one letter at a time,
-until the ranges of rows that share the prefix hold enough candidates; these
-are scored exactly. Every query visits every shard, and the best of the shards
+until the ranges of rows that share the prefix hold enough candidates beside
+the query itself, the wanted number of different ones at least; these are
+scored exactly. Every query visits every shard, and the best of the shards
 are merged, so all rows are indexed and no tree is ever one task.
 """
 
@@ -36,10 +37,11 @@ class Forest:
         weights = np.int64(1) << np.arange(self.bits - 1, -1, -1, dtype=np.int64)
         return np.stack([((vectors @ p) > 0) @ weights for p in self.planes])
 
-    def candidates(self, queries: np.ndarray, wanted: float):
+    def candidates(self, queries: np.ndarray, share: float, own: np.ndarray, enough):
         """For each query the rows of the longest common prefix length at
-        which the ranges of all trees together hold ``wanted`` rows (all rows,
-        if no length does)."""
+        which the ranges of all trees together hold ``share`` times the other
+        rows and ``enough(query, rows)`` is true (all rows, if there is no such
+        length). ``own``: rows of each query itself, which do not count."""
         codes = self.codes(queries)
         low = np.empty((self.bits + 1, *codes.shape), np.int64)
         high = np.empty_like(low)
@@ -49,13 +51,18 @@ class Forest:
             for t in range(len(codes)):
                 low[level, t] = np.searchsorted(self.sorted[t], first[t])
                 high[level, t] = np.searchsorted(self.sorted[t], first[t] + (np.int64(1) << rest))
-        enough = (high - low).sum(axis=1) >= wanted
-        level = np.where(enough.any(axis=0), self.bits - np.argmax(enough[::-1], axis=0), 0)
+        held = (high - low).sum(axis=1) - len(codes) * own
+        reached = held >= share * (self.order.shape[1] - own)
+        level = np.where(reached.any(axis=0), self.bits - np.argmax(reached[::-1], axis=0), 0)
         for q in range(codes.shape[1]):
-            seen = np.zeros(self.order.shape[1], bool)
-            for t in range(len(codes)):
-                seen[self.order[t, low[level[q], t, q]:high[level[q], t, q]]] = True
-            yield np.flatnonzero(seen)
+            for at in range(level[q], -1, -1):
+                seen = np.zeros(self.order.shape[1], bool)
+                for t in range(len(codes)):
+                    seen[self.order[t, low[at, t, q]:high[at, t, q]]] = True
+                rows = np.flatnonzero(seen)
+                if not at or enough(q, rows):
+                    break
+            yield rows
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -71,9 +78,16 @@ def search_shard(index: pd.DataFrame, queries: pd.DataFrame, k: int, share: floa
     ids, query_ids = index["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
     size, asked_size = np.sqrt((rows * rows).sum(axis=1)), np.sqrt((asked * asked).sum(axis=1))
     forest = Forest(rows, trees, bits)
+    known, number, times = np.unique(ids, return_inverse=True, return_counts=True)
+    place = np.minimum(np.searchsorted(known, query_ids), len(known) - 1)
+    own = np.where(known[place] == query_ids, times[place], 0)
     out = []
     for a in range(0, len(asked), 256):
-        for q, near in enumerate(forest.candidates(asked[a:a + 256], share * len(rows)), a):
+        def enough(q: int, near: np.ndarray, a: int = a) -> bool:
+            others = near[ids[near] != query_ids[a + q]]
+            return len(others) >= k and (len(known) == len(ids) or len(np.unique(number[others])) >= k)
+
+        for q, near in enumerate(forest.candidates(asked[a:a + 256], share, own[a:a + 256], enough), a):
             near = near[ids[near] != query_ids[q]]
             rough = (rows[near] @ asked[q]) / size[near]
             if len(near) > k:
@@ -99,9 +113,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 1
     compared with those of their own length. Of rows with the same id, a query
     is the first by its bytes, and a candidate counts once, with its best
     score. ``share`` is the number of rows of a shard that the ranges of all
-    trees must hold before the ascent ends, as a share of the shard (a row
-    counts for every tree that holds it): 1.5 keeps recall well above 0.9 even
-    where vectors have no clusters at all; clustered ones do with far less.
+    trees must hold before the ascent ends, as a share of the shard without the
+    query (a row counts for every tree that holds it): 1.5 keeps recall well above 0.9 even
+    where vectors have no clusters at all; clustered ones do with far less. Of
+    at most ``k`` other rows all are found. An empty table gives no rows; extra
+    columns of any name are left out.
     """
     def valid(df: DataFrame) -> DataFrame:
         df = required(df, {"vec_id": "long", "embedding": "array<double>"})
