@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,20 +32,20 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def text_slices(batch: pa.RecordBatch, column: str, max_chars: int = 1 << 20) -> Iterator[tuple[int, list]]:
-    """(first row, texts) runs of a batch with about ``max_chars`` characters
-    each; nulls stay ``None``. A longer text forms a run of its own."""
-    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-    first, run, size = 0, [], 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if run and size + n > max_chars:
-            yield first, run
-            first, run, size = i, [], 0
-        run.append(t)
+def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[tuple[int, list]]:
+    """(first row, texts) runs of a batch with about ``max_bytes`` bytes of
+    text each; nulls stay ``None``. A longer text forms a run of its own. Only
+    the texts of one run are held at a time."""
+    texts = batch.column(batch.schema.get_field_index(column))
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and size + n > max_bytes:
+            yield first, texts.slice(first, i - first).to_pylist()
+            first, size = i, 0
         size += n
-    if run:
-        yield first, run
+    if first < len(texts):
+        yield first, texts.slice(first).to_pylist()
 
 
 def gather(flat: np.ndarray, offset: np.ndarray, length: np.ndarray) -> np.ndarray:
