@@ -1,65 +1,191 @@
-"""Exact k-nearest-neighbour imputation as a blocked Spark job (M3).
+"""Exact k-nearest-neighbour imputation as a Spark job that skips far blocks (M3).
 
 Distance is scikit-learn's ``nan_euclidean``: over the coordinates present in
 both rows, scaled by (all coordinates / common coordinates). Weights are
-1/distance; donors at distance 0 take all the weight.
-
-Plan: receivers (rows with a gap) are cut into ``G`` chunks and donors into
-``B`` blocks of at most ``block_rows`` rows each; every (chunk, block) pair
-meets once in a cogrouped ``applyInPandas`` task that computes the distance
-matrix with numpy and emits, per receiver and missing column, only its ``k``
-best donors of the block. A second, bounded step merges the ``k x B``
-candidates of each (receiver, column) and forms the weighted mean. No task
-holds more than two blocks; no pair is emitted.
+1/distance; donors at distance 0 take all the weight. Of donors at the same
+distance those with the smaller value come first.
+
+Donors are dealt to the leaves of a tree of medians, fitted on a bounded sample
+of them; the box of every leaf (smallest and largest value of each column) is
+taken over all its donors. A receiver (row with a gap) first meets the donors
+of its own leaf, which gives a bound on its k-th distance for each missing
+column, then only the leaves whose box comes as near as that bound. Leaves are
+cut into blocks and receivers into chunks, so that no task holds more than one
+of each; every task keeps the ``k`` best donors of a receiver and column, and
+the k best of these are found with a partial top-k before the shuffle.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import write_table
+
+#: Donors that the tree is fitted on, and its largest number of leaves (the bound of the boxes each task gets).
+SAMPLE_ROWS, MAX_LEAVES = 20_000, 4096
+#: Receivers whose distances to a block are held at a time.
+SLICE = 200
+
 
-def _candidates(cols, k):
+def _nearest(cols: list[str], k: int):
+    """Of one block of donors the ``k`` best of each receiver and missing column."""
     d = len(cols)
 
     def run(recv: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"rid": pd.Series(dtype="int64"), "column": pd.Series(dtype="str"),
-                              "dist": pd.Series(dtype="float64"), "value": pd.Series(dtype="float64")})
-        if recv.empty or donors.empty:
-            return empty
-        R = recv[cols].to_numpy(dtype="float64")
-        D = donors[cols].to_numpy(dtype="float64")
-        rp, dp = ~np.isnan(R), ~np.isnan(D)
-        R0, D0 = np.where(rp, R, 0.0), np.where(dp, D, 0.0)
-        common = rp.astype(float) @ dp.T.astype(float)
-        sq = (R0 ** 2) @ dp.T.astype(float) + rp.astype(float) @ (D0 ** 2).T - 2 * R0 @ D0.T
-        with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.sqrt(np.maximum(sq, 0.0) * d / common)
-        dist[common == 0] = np.nan
-        out = []
-        rids = recv["rid"].to_numpy()
-        for j, c in enumerate(cols):
-            need = np.where(~rp[:, j])[0]
-            has = dp[:, j]
-            if need.size == 0 or not has.any():
-                continue
-            sub = dist[np.ix_(need, np.where(has)[0])]
-            vals = D[has, j]
-            kk = min(k, sub.shape[1])
-            s = np.where(np.isnan(sub), np.inf, sub)
-            idx = np.argpartition(s, kk - 1, axis=1)[:, :kk]
-            dsel = np.take_along_axis(s, idx, axis=1)
-            ok = np.isfinite(dsel)
-            out.append(pd.DataFrame({"rid": np.repeat(rids[need], kk)[ok.ravel()], "column": c,
-                                     "dist": dsel[ok], "value": vals[idx[ok]]}))
-        return pd.concat(out, ignore_index=True) if out else empty
+        out = [pd.DataFrame({"rid": pd.Series(dtype="int64"), "column": pd.Series(dtype="str"),
+                             "dist": pd.Series(dtype="float64"), "value": pd.Series(dtype="float64")})]
+        every, D = recv[cols].to_numpy(dtype="float64"), donors[cols].to_numpy(dtype="float64")
+        rids, dp = recv["rid"].to_numpy(), ~np.isnan(D)
+        for begin in range(0, len(every) if len(D) else 0, SLICE):
+            R = every[begin:begin + SLICE]
+            rp = ~np.isnan(R)
+            total, common = np.zeros((len(R), len(D))), np.zeros((len(R), len(D)))
+            for c in range(d):  # differences, not products: equal rows are at distance 0 exactly
+                both = np.outer(rp[:, c], dp[:, c])
+                total += np.where(both, (R[:, c, None] - D[None, :, c]) ** 2, 0.0)
+                common += both
+            with np.errstate(divide="ignore", invalid="ignore"):
+                dist = np.sqrt(total * d / common)
+            dist[~np.isfinite(dist)] = np.inf
+            for j, c in enumerate(cols):
+                need, has = np.flatnonzero(~rp[:, j]), np.flatnonzero(dp[:, j])
+                if not len(need) or not len(has):
+                    continue
+                sub = dist[np.ix_(need, has)]
+                last = min(k, len(has)) - 1
+                kth = np.partition(sub, last, axis=1)[:, last]
+                row, col = np.nonzero((sub <= kth[:, None]) & np.isfinite(sub))
+                found = pd.DataFrame({"rid": rids[begin + need[row]], "column": c, "dist": sub[row, col], "value": D[has[col], j]})
+                found = found.iloc[np.lexsort((found["value"], found["dist"], row))]
+                out.append(found[(found.groupby("rid").cumcount() < k).to_numpy()])
+        return pd.concat(out[1:], ignore_index=True) if len(out) > 1 else out[0]
     return run
 
 
+def median_tree(sample: np.ndarray, depth: int) -> tuple[list[int], list[float], list[float]]:
+    """(column, bound) of every inner node of a complete tree in level order,
+    and the values that stand for missing ones. Each node is cut at the median
+    of its widest column."""
+    with np.errstate(all="ignore"):
+        fill = [float(np.mean(v)) if len(v := x[np.isfinite(x)]) else 0.0 for x in sample.T]
+    full = np.where(np.isfinite(sample), sample, fill)
+    column, bound, nodes = [], [], [full]
+    for _ in range(depth):
+        below = []
+        for rows in nodes:
+            at = int((rows.max(axis=0) - rows.min(axis=0)).argmax()) if len(rows) else 0
+            cut = float(np.median(rows[:, at])) if len(rows) else 0.0
+            column.append(at)
+            bound.append(cut)
+            below += [rows[rows[:, at] <= cut], rows[rows[:, at] > cut]]
+        nodes = below
+    return column, bound, fill
+
+
+def with_leaf(df: DataFrame, cols: list[str], tree: tuple[list[int], list[float], list[float]]) -> DataFrame:
+    """``df`` with the number of the leaf each row lies in, as ``leaf``."""
+    column, bound, fill = tree
+    filled = F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit(x)) for c, x in zip(cols, fill)])
+    df = df.withColumn("leaf", F.lit(0))
+    for _ in range(int(math.log2(len(column) + 1))):
+        right = F.get(filled, F.get(F.lit(column), F.col("leaf"))) > F.get(F.lit(bound), F.col("leaf"))
+        df = df.withColumn("leaf", 2 * F.col("leaf") + 1 + right.cast("int"))
+    return df.withColumn("leaf", F.col("leaf") - len(column))
+
+
+def nearest_in_box(rows: np.ndarray, low: np.ndarray, high: np.ndarray, some: np.ndarray, all_: np.ndarray) -> np.ndarray:
+    """Rows x leaves: no donor of a leaf is nearer than this. ``some`` and
+    ``all_`` (leaves x columns) tell whether any and whether all donors of a leaf
+    have a value. Which coordinates are common differs from donor to donor: of
+    those that only some donors have, the ones that make the mean smallest count."""
+    with np.errstate(invalid="ignore"):
+        gap = np.maximum(np.maximum(low[None] - rows[:, None], rows[:, None] - high[None]), 0.0)
+    gap = np.nan_to_num(gap, nan=0.0, posinf=np.inf) ** 2
+    present = ~np.isnan(rows)[:, None]
+    sure, maybe = present & all_[None], present & (some & ~all_)[None]
+    total, n = np.where(sure, gap, 0.0).sum(axis=2), sure.sum(axis=2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        best = np.where(n > 0, total / n, np.inf)
+        for more in np.moveaxis(np.sort(np.where(maybe, gap, np.inf), axis=2), 2, 0):
+            total, n = total + more, n + 1
+            best = np.minimum(best, total / n)
+    return np.sqrt(best * rows.shape[1])
+
+
+def nearest_donors(recv: DataFrame, donors: DataFrame, cols: list[str], k: int, block_rows: int = 5000,
+                   chunk_rows: int = 2000) -> tuple[DataFrame, DataFrame, int]:
+    """``(rid, column, dist, value)`` with the ``k`` best donors of every
+    receiver and missing column, the leaves every receiver met beside its own
+    as ``(rid, leaf)``, and the number of leaves. ``recv``: rid and ``cols``,
+    NULL where missing. Without donors there are no rows."""
+    donors = donors.select(*[F.col(f"`{c}`").alias(c) for c in cols])  # columns of their own, if both come from one frame
+    n_d = donors.count()
+    depth = max(0, min(int(math.log2(MAX_LEAVES)), math.ceil(math.log2(max(1, n_d / block_rows)))))
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.monotonically_increasing_id())
+    sample = donors.select("*", order.alias("__at")).orderBy("__at").limit(SAMPLE_ROWS).drop("__at").toPandas()
+    tree = median_tree(sample[cols].to_numpy(dtype="float64"), depth)
+    donors, recv, n_leaves = with_leaf(donors, cols, tree), with_leaf(recv, cols, tree), 1 << depth
+    boxes = donors.groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.min(f"`{c}`") for c in cols]).alias("low"),
+        F.array(*[F.max(f"`{c}`") for c in cols]).alias("high"), F.array(*[F.count(f"`{c}`") for c in cols]).alias("held")).collect()
+    low, high = np.full((n_leaves, len(cols)), np.nan), np.full((n_leaves, len(cols)), np.nan)
+    held, size = np.zeros((n_leaves, len(cols)), np.int64), np.zeros(n_leaves, np.int64)
+    for b in boxes:
+        low[b["leaf"]], high[b["leaf"]] = np.array(b["low"], float), np.array(b["high"], float)
+        held[b["leaf"]], size[b["leaf"]] = b["held"], b["n"]
+    blocks = F.lit([max(1, -(-int(n) // block_rows)) for n in size])
+
+    def met(rows: DataFrame) -> DataFrame:
+        """Receivers with a ``leaf`` against all donors of that leaf."""
+        n = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}  # a row a leaf
+        chunks = F.lit([-(-n.get(i, 0) // chunk_rows) for i in range(n_leaves)])
+        few, many = F.get(blocks, F.col("leaf")), F.get(chunks, F.col("leaf"))
+        r = (rows.withColumn("chunk", F.pmod(F.xxhash64("rid"), many))
+             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), (few - 1).cast("long")))))
+        d = (donors.withColumn("block", F.pmod(F.monotonically_increasing_id(), few).cast("long")).where(many > 0)
+             .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), (many - 1).cast("long")))))
+        keys = ["leaf", "block", "chunk"]
+        found = (r.withColumn("chunk", F.col("chunk").cast("long")).groupBy(*keys).cogroup(d.groupBy(*keys))
+                 .applyInPandas(_nearest(cols, k), "rid long, column string, dist double, value double"))
+        return write_table(top(found), "knn-donors-met")
+
+    def top(found: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("rid", "column").orderBy("dist", "value"))
+        return found.withColumn("place", place).where(F.col("place") <= k).drop("place")
+
+    own = met(recv)
+    reach = own.groupBy("rid", "column").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dist")).where(F.col("n") >= k)
+    reach = reach.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("column", "dist"))).alias("reach"))
+    asked = recv.join(reach, "rid", "left").select("rid", "leaf", *[F.col(f"`{c}`") for c in cols],
+                                                   F.array(*[F.coalesce(F.element_at("reach", F.lit(c)), F.lit(math.inf)) for c in cols]).alias("reach"))
+    some, all_ = held > 0, (held == size[:, None]) & (held > 0)
+    step = max(1, 2_000_000 // (n_leaves * len(cols)))
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for begin in range(0, len(batch), step):
+                part = batch.iloc[begin:begin + step]
+                rows = part[cols].to_numpy(dtype="float64")
+                bound = nearest_in_box(rows, low, high, some, all_)
+                limit = np.stack(part["reach"].to_numpy()) * (1 + 1e-9)
+                wanted = np.zeros(bound.shape, bool)
+                for j in range(len(cols)):
+                    wanted |= np.isnan(rows[:, j])[:, None] & some[None, :, j] & (bound <= limit[:, j, None]) & np.isfinite(bound)
+                wanted[np.arange(len(part)), part["leaf"].to_numpy()] = False
+                row, leaf = np.nonzero(wanted)
+                yield pd.DataFrame({"rid": part["rid"].to_numpy()[row], "leaf": leaf.astype("int32")})
+
+    visits = write_table(asked.mapInPandas(near, "rid long, leaf int"), "knn-visits")
+    rest = met(recv.drop("leaf").join(visits, "rid"))
+    return top(own.union(rest)), visits, n_leaves
+
+
 def knn_impute(df: DataFrame, donors_path: str, cols, id_col: str, k: int, means: dict,
                block_rows: int = 5000, chunk_rows: int = 2000) -> DataFrame:
     spark = df.sparkSession
@@ -71,22 +197,10 @@ def knn_impute(df: DataFrame, donors_path: str, cols, id_col: str, k: int, means
         miss = miss | F.col(c).isNull() | F.isnan(F.col(c))
     recv = df.where(miss).select(F.col(id_col).alias("rid"), *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c)
                                                                 for c in cols])
-    donors = spark.read.parquet(donors_path).select(*cols)
-    n_r = recv.count()
-    if n_r == 0:
+    if recv.isEmpty():
         return df
-    n_d = donors.count()
-    G = max(1, math.ceil(n_r / chunk_rows))
-    B = max(1, math.ceil(n_d / block_rows))
-    r_ex = recv.withColumn("__g", F.pmod(F.xxhash64("rid"), F.lit(G))).withColumn(
-        "__b", F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
-    d_ex = donors.withColumn("__b", F.pmod(F.monotonically_increasing_id(), F.lit(B))).withColumn(
-        "__g", F.explode(F.sequence(F.lit(0), F.lit(G - 1))))
-    cand = r_ex.groupBy("__g", "__b").cogroup(d_ex.groupBy("__g", "__b")).applyInPandas(
-        _candidates(cols, k), "rid long, column string, dist double, value double")
-    # merge: at most k x B candidates per (receiver, column)
-    best = cand.groupBy("rid", "column").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("dist", "value"))), 1, k).alias("nn"))
+    found, _, _ = nearest_donors(recv, spark.read.parquet(donors_path).select(*cols), cols, k, block_rows, chunk_rows)
+    best = found.groupBy("rid", "column").agg(F.array_sort(F.collect_list(F.struct("dist", "value"))).alias("nn"))  # k at most
     zero = F.exists("nn", lambda x: x["dist"] == 0)
     w = lambda x: F.when(zero, F.when(x["dist"] == 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(1.0 / x["dist"])
     num = F.aggregate("nn", F.lit(0.0), lambda acc, x: acc + w(x) * x["value"])

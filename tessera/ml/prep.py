@@ -498,9 +498,9 @@ class KNNImputer(ColumnsEstimator):
 
     Fitting stores the donor rows (the fit data) as a table in the shared
     checkpoint folder plus the column means (the fallback when no donor
-    shares a coordinate). Transforming runs the blocked search of
-    :mod:`tessera.ml.knn`; it is quadratic by nature (every receiver meets
-    every donor) but streams bounded blocks and never emits all pairs.
+    shares a coordinate). Transforming runs the search of
+    :mod:`tessera.ml.knn`: a receiver meets only the blocks of donors whose
+    box comes as near as its k-th distance so far.
     """
 
     idCol = Param(Params._dummy(), "idCol", "unique row key", TypeConverters.toString)
