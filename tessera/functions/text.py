@@ -128,11 +128,11 @@ def page_total(c, default: int = 1) -> Column:
 
 # F16
 def parse_measure(c) -> Column:
-    """Clinical reading text -> struct(value, value2): ``'120/80'`` ->
-    (120, 80), ``'36.8'`` -> (36.8, NULL), text -> (NULL, NULL)."""
-    parts = F.split(F.trim(_c(c)), "/")
-    two = F.size(parts) == 2
-    v1 = F.element_at(parts, 1).try_cast("double")
-    v2 = F.when(two, F.element_at(parts, 2).try_cast("double"))
-    ok = (F.size(parts) <= 2)
-    return F.struct(F.when(ok, v1).alias("value"), F.when(ok, v2).alias("value2"))
+    """Clinical reading text -> struct(value, value2, unit): ``'120/80 mmHg'`` ->
+    (120, 80, mmHg), ``'36.8'`` -> (36.8, NULL, NULL), ``'95 mg/dL'`` ->
+    (95, NULL, mg/dL), text -> NULLs. The unit is all that follows the numbers."""
+    number = r"([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+    pattern = rf"^\s*{number}(?:\s*/\s*{number})?(?:\s*([^0-9\s./+-].*?))?\s*$"
+    part = [F.regexp_extract(_c(c), pattern, i) for i in (1, 2, 3)]
+    return F.struct(part[0].try_cast("double").alias("value"), part[1].try_cast("double").alias("value2"),
+                    F.nullif(part[2], F.lit("")).alias("unit"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.stopwords import ENGLISH
 from tessera.ml import models as MD
 from tessera.ml import prep as PR
 from tessera.ml.compose import Branch, Columns, ColumnTransformer, FunctionStep
@@ -216,8 +217,10 @@ def m15_preparation_pipeline(spark, d):
 
 # ------------------------------------------------------------------ text classification
 def articles(spark, d):
+    """Whole texts and, as their summary, the longest sentence of each (the first of equals)."""
     doc = table(spark, d, "documents")
-    return doc.select("doc_id", F.col("text").alias("summary"),
+    sentences = F.transform(F.split("text", r"[.!?]\s+"), lambda s, i: F.struct(F.length(s).alias("n"), (-i).alias("at"), s.alias("s")))
+    return doc.select("doc_id", F.array_max(sentences)["s"].alias("summary"),
                       F.col("text").alias("documents"), F.col("lang").alias("categoria"))
 
 
@@ -436,14 +439,54 @@ def ratio_of(df, key, top, bottom, out):
     return df.select(key, F.try_divide(F.col(top), F.col(bottom)).alias(out))
 
 
-@query("m18_m20_tokens_and_counts")
+_STOP_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH) + ")"
+_TERMS_SQL = f"""words AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]')) AS term FROM documents),
+c AS (SELECT doc_id, term, count(*) AS n FROM words WHERE term <> '' AND term NOT IN {_STOP_SQL} GROUP BY 1, 2),
+v AS (SELECT term, row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS term_id, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_total,
+    sqrt((t.all_rows * CAST(sum(n * n) AS DOUBLE) - CAST(sum(n) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) / (t.all_rows * (t.all_rows - 1))) AS sd
+    FROM c, (SELECT CAST(count(*) AS DOUBLE) AS all_rows FROM documents) t GROUP BY term, t.all_rows)"""
+
+
+def _vocabulary(spark, d):
+    from tessera.ml import vocabulary as V
+    doc = table(spark, d, "documents")
+    counts = V.term_counts(doc, "doc_id", "text")
+    return V, counts, V.vocabulary(counts, doc.count())
+
+
+@query("m20_vocabulary_table", f"""WITH {_TERMS_SQL} SELECT term, term_id, n_docs, n_total, {sround("sd", 6)} AS sd FROM v""")
+def m20_vocabulary_table(spark, d):
+    _, _, terms = _vocabulary(spark, d)
+    return terms.select("term", "term_id", "n_docs", "n_total", r6("sd"))
+
+
+@query("m20_sparse_counts", f"""WITH {_TERMS_SQL} SELECT doc_id, string_agg(CAST(term_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ' ' ORDER BY term_id) AS counts
+FROM c JOIN v USING (term) GROUP BY doc_id""")
+def m20_sparse_counts(spark, d):
+    V, counts, terms = _vocabulary(spark, d)
+    rows = V.sparse_rows(V.scaled_counts(counts, terms), "n")
+    joined = F.zip_with("term_ids", "counts", lambda t, n: F.concat_ws(":", t.cast("string"), n.cast("string")))
+    return rows.select(F.col("id").alias("doc_id"), F.concat_ws(" ", joined).alias("counts"))
+
+
+@query("m20_scaled_counts", f"""WITH {_TERMS_SQL} SELECT term_id, count(*) AS n_docs, {sround("sum(n) / max(sd)", 4)} AS scaled
+FROM c JOIN v USING (term) WHERE sd > 0 GROUP BY term_id""")
+def m20_scaled_counts(spark, d):
+    V, counts, terms = _vocabulary(spark, d)
+    scaled = V.scaled_counts(counts, terms).groupBy("term_id").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("scaled").alias("scaled"))
+    return scaled.where("scaled > 0").select("term_id", "n_docs", F.round("scaled", 4).alias("scaled"))
+
+
+@query("m18_m20_tokens_and_counts", f"""WITH {_TERMS_SQL}, t AS (SELECT doc_id, regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]') AS w FROM documents),
+k AS (SELECT doc_id, w, list_filter(w, lambda x: x NOT IN {_STOP_SQL}) AS kept FROM t)
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, CAST(len(kept) AS INTEGER) AS n_kept, CAST(len(list_distinct(kept)) AS INTEGER) AS n_distinct_terms,
+    CAST((SELECT count(*) FROM v) AS INTEGER) AS vocabulary_size FROM k""")
 def m18_m20_tokens_and_counts(spark, d):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Tokenizer
 
-    from tessera.functions.stopwords import ENGLISH
     doc = articles(spark, d)
-    pipe = Pipeline(stages=[Tokenizer(inputCol="summary", outputCol="tokens"),
+    pipe = Pipeline(stages=[Tokenizer(inputCol="documents", outputCol="tokens"),
                             StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=list(ENGLISH)),
                             CountVectorizer(inputCol="filtered", outputCol="counts", vocabSize=MD.VOCABULARY_LIMIT)])
     model = pipe.fit(doc)

@@ -117,16 +117,16 @@ def a31_phone_prefix_counts(spark, d):
     return N.count_per_value(c, "phones")
 
 
-@query("f16_parse_clinical_reading", """WITH r AS (SELECT event_id, CASE
-    WHEN event_type = 'click' THEN CAST(CAST(floor(value * 10) AS BIGINT) AS VARCHAR) || '/' || CAST(CAST(floor(value * 5) AS BIGINT) AS VARCHAR)
-    WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS reading FROM events),
-p AS (SELECT event_id, string_split(trim(reading), '/') AS parts FROM r)
-SELECT event_id, CASE WHEN len(parts) <= 2 THEN TRY_CAST(parts[1] AS DOUBLE) END AS value,
-    CASE WHEN len(parts) <= 2 AND len(parts) = 2 THEN TRY_CAST(parts[2] AS DOUBLE) END AS value2 FROM p""")
+@query("f16_parse_clinical_reading", """SELECT event_id,
+    CASE event_type WHEN 'click' THEN CAST(floor(value * 10) AS DOUBLE) WHEN 'error' THEN NULL ELSE value END AS value,
+    CASE event_type WHEN 'click' THEN CAST(floor(value * 5) AS DOUBLE) END AS value2,
+    CASE WHEN value IS NULL THEN NULL WHEN event_type = 'click' THEN 'mmHg' WHEN event_type = 'purchase' THEN 'mg/dL' END AS unit FROM events""")
 def f16_parse_clinical_reading(spark, d):
+    """Readings as text, written by kind of event: a pair with a unit, a number with or without one, no number."""
     ev = table(spark, d, "events")
     t = F.col("event_type")
-    reading = (F.when(t == "click", F.concat(F.floor(F.col("value") * 10).cast("bigint").cast("string"), F.lit("/"),
-                                             F.floor(F.col("value") * 5).cast("bigint").cast("string")))
-               .when(t == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")))
-    return ev.select("event_id", T.parse_measure(reading).alias("m")).select("event_id", "m.value", "m.value2")
+    whole = [F.floor(F.col("value") * n).cast("bigint").cast("string") for n in (10, 5)]
+    number = F.col("value").cast("string")
+    reading = (F.when(t == "click", F.concat(whole[0], F.lit("/"), whole[1], F.lit(" mmHg")))
+               .when(t == "error", F.lit("n/a")).when(t == "purchase", F.concat(number, F.lit(" mg/dL"))).otherwise(number))
+    return ev.select("event_id", T.parse_measure(reading).alias("m")).select("event_id", "m.value", "m.value2", "m.unit")
