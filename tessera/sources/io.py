@@ -47,21 +47,11 @@ def read_csv_checked(spark: SparkSession, path, schema: T.StructType = LEDGER_TE
     return df.withColumn("file", F.col("_metadata.file_path"))
 
 
-def header_lines(spark: SparkSession, path) -> DataFrame:
-    """``(file, header)``: the first line of every file, from a text scan.
-    The first line is the earliest row of the block that starts at offset 0,
-    taken with ``min_by`` over the scan position (partial aggregation)."""
-    t = spark.read.text(_paths(path)).select(
-        F.col("value"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
-    return t.where(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
-
-
-def _positional_rows(spark: SparkSession, path, schema: T.StructType = LEDGER_TEXT) -> DataFrame:
-    """Rows by position (header line skipped, not checked here); a row with
-    the wrong field count keeps its raw line in ``_corrupt_record``."""
+def _positional_rows(spark: SparkSession, path, schema: T.StructType = LEDGER_TEXT, header: bool = True) -> DataFrame:
+    """Rows by position (a ``header`` line is skipped, not checked here); a row
+    with the wrong field count keeps its raw line in ``_corrupt_record``."""
     s = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(s).options(header=True, enforceSchema=True, mode="PERMISSIVE",
+    return (spark.read.schema(s).options(header=header, enforceSchema=True, mode="PERMISSIVE",
                                          columnNameOfCorruptRecord=CORRUPT)
             .csv(_paths(path)).withColumn("file", F.col("_metadata.file_path")))
 
@@ -70,21 +60,32 @@ def check_csv_files(spark: SparkSession, path, schema: T.StructType, validate=No
                     header: Sequence[str] | None = None) -> DataFrame:
     """Per-file verdict of a CSV contract (S2, P17):
     ``(file, header_ok, n_rows, n_bad_rows, ok)``. A file passes when its
-    first line is exactly the expected header (the schema's names unless
-    ``header`` is given), no row has the wrong field count, and
-    ``validate(rows) -> rows with is_valid`` (optional) accepts every row."""
+    first line holds exactly the expected names (the schema's unless ``header``
+    is given; they may be quoted), no row has the wrong field count, and
+    ``validate(rows) -> rows with is_valid`` (optional) accepts every row. A
+    file without any line gives no row.
+
+    One scan: the header is parsed as a row like the others and told by its
+    place, the first row of the block at offset 0."""
     names = list(header) if header else [f.name for f in schema.fields]
-    heads = header_lines(spark, path).withColumn("header_ok", F.col("header") == F.lit(",".join(names)))
-    rows = _positional_rows(spark, path, schema)
-    # without a validator every parsed row is valid; the expression reads the
-    # data columns because Spark refuses a scan that reads only the corrupt column
-    v = validate(rows) if validate else rows.withColumn(
-        "is_valid", F.length(F.concat_ws("|", *[F.col(f"`{f.name}`").cast("string") for f in schema.fields])) >= 0)
-    bad = ~F.col("is_valid") | F.col(CORRUPT).isNotNull()
-    per_file = v.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_bad_rows"))
-    out = heads.join(per_file, "file", "left").fillna(0, ["n_rows", "n_bad_rows"])
-    return out.select("file", "header_ok", "n_rows", "n_bad_rows",
-                      (F.col("header_ok") & (F.col("n_bad_rows") == 0)).alias("ok"))
+    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))] + [T.StructField(CORRUPT, T.StringType())])
+    rows = _positional_rows(spark, path, schema, header=False)
+    rows = rows.withColumns({"__block": F.col("_metadata.file_block_start"), "__pos": F.monotonically_increasing_id()})
+    # every data column is read: Spark tells a wrong field count only then
+    fields = F.array(*[F.col(f"`{f.name}`").cast("string") for f in schema.fields])
+    v = validate(rows) if validate else rows.withColumn("is_valid", F.size(fields) >= 0)
+    # a header that does not fit the columns' types is in the corrupt record, as it stands in the file
+    line = F.from_csv(F.col(CORRUPT), text.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    wanted = F.array(*[F.lit(n) for n in names])
+    named = F.when(F.col(CORRUPT).isNull(), fields == wanted).otherwise(
+        line[CORRUPT].isNull() & (F.array(*[line[f"c{i}"] for i in range(len(names))]) == wanted))
+    bad = F.coalesce(~F.col("is_valid"), F.lit(True)) | F.col(CORRUPT).isNotNull()
+    v = v.select("file", "__block", "__pos", F.coalesce(named, F.lit(False)).alias("named"), bad.alias("bad"))
+    first = F.min_by(F.struct("named", "bad"), F.when(F.col("__block") == 0, F.col("__pos")))
+    out = v.groupBy("file").agg(first.alias("h"), (F.count(F.lit(1)) - 1).alias("n_rows"), F.count_if("bad").alias("n"))
+    out = out.select("file", F.col("h.named").alias("header_ok"), "n_rows", (F.col("n") - F.col("h.bad").cast("long")).alias("n_bad_rows"))
+    return out.withColumn("ok", F.col("header_ok") & (F.col("n_bad_rows") == 0))
 
 
 def check_ledger_files(spark: SparkSession, path, header: Sequence[str] = LEDGER_HEADER) -> DataFrame:
@@ -95,10 +96,11 @@ def check_ledger_files(spark: SparkSession, path, header: Sequence[str] = LEDGER
 
 def read_ledger(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     """Typed ledger rows of the files that pass :func:`check_ledger_files`,
-    and the rows of the rejected files (S1). Amount text with a decimal comma
-    is normalised."""
+    and the rows of the rejected files (S1), with the raw line in
+    ``_corrupt_record`` where the field count was wrong. Amount text with a
+    decimal comma is normalised."""
     verdict = check_ledger_files(spark, path)
-    rows = _positional_rows(spark, path).drop(CORRUPT)
+    rows = _positional_rows(spark, path)
     good_files = verdict.where("ok").select("file")
     good = rows.join(good_files, "file", "left_semi")
     typed = good.select(F.try_to_date("Date", "d/M/yyyy").alias("date"), F.col("Description").alias("description"),

@@ -30,6 +30,31 @@ def test_ledger_file_contract(spark, tmp_dir):
     assert v["good.csv"][3] is False
     typed, rejected = io.read_ledger(spark, tmp_dir)
     assert sorted(r.description for r in typed.collect()) == ["Eggs", "Milk"]
+    assert "01/02/2024,Bread,2,50" in [r._corrupt_record for r in rejected.collect()]
+
+
+def test_header_as_a_row_of_the_one_scan(spark, tmp_dir):
+    heads = {"quoted": '"Date","Description","Amount"', "more": "Date,Description,Amount,Note", "fewer": "Date,Description", "none": "01/02/2024,Bread,2",
+             "spaced": "Date, Description,Amount", "twice": "Date,Description,Amount\nDate,Description,Amount"}
+    for name, head in heads.items():
+        _write(os.path.join(tmp_dir, f"{name}.csv"), f"{head}\n01/02/2024,Bread,2\n02/02/2024,Milk,1\n")
+    _write(os.path.join(tmp_dir, "only.csv"), "Date,Description,Amount\n")
+    _write(os.path.join(tmp_dir, "empty.csv"), "")
+    v = {os.path.basename(r.file)[:-4]: (r.header_ok, r.n_rows, r.n_bad_rows, r.ok) for r in io.check_ledger_files(spark, tmp_dir).collect()}
+    assert v == {"quoted": (True, 2, 0, True), "more": (False, 2, 0, False), "fewer": (False, 2, 0, False), "none": (False, 2, 0, False),
+                 "spaced": (False, 2, 0, False), "twice": (True, 3, 1, False), "only": (True, 0, 0, True)}
+
+
+def test_header_over_many_blocks(spark, tmp_dir):
+    """The file is cut into many blocks; its header is the first row of the first."""
+    _write(os.path.join(tmp_dir, "long.csv"), "Date,Description,Amount\n" + "01/02/2024,Bread,2\n" * 5000 + "x,Bread,2\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        r = io.check_ledger_files(spark, tmp_dir).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (r.header_ok, r.n_rows, r.n_bad_rows) == (True, 5001, 1)
 
 
 def test_copy_into_failfast(spark, tmp_dir):
