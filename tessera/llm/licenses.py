@@ -79,8 +79,10 @@ def scan(docs: DataFrame, threshold: float = 0.8, templates: list[tuple[str, str
     ``labels`` also holds those of matching templates; ``score`` is the
     largest share of a template's words found in a block (1 for a phrase, 0
     without a match). Null and empty texts have no words. Repeated rows stay;
-    an empty table gives none. A template may have up to ``STRIDE`` words, so
-    that it always lies within one block of twice that size.
+    an empty table gives none. A template of up to ``STRIDE`` words always lies
+    within one block of twice that size; longer templates are looked for in
+    blocks of their own, of twice ``STRIDE``, 2 ``STRIDE``, 4 ``STRIDE`` ... words, so a
+    template may be a whole license text.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
     docs = required(docs, {"doc_id": "long", "text": "string"})
@@ -88,19 +90,18 @@ def scan(docs: DataFrame, threshold: float = 0.8, templates: list[tuple[str, str
     counts = word_counts(docs, vocabulary)
     ordered = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(ordered)}
-    index = []
+    index: dict[int, list] = {}
     for text, label in templates:
         tokens = sorted(set(text.split()), key=rank.get)
-        if len(text.split()) > STRIDE:
-            raise ValueError(f"template of more than {STRIDE} words: {text}")
         need = max(1, math.ceil(threshold * len(tokens) - 1e-9))
-        index.append((label, tokens, tokens[:len(tokens) - need + 1], need))
-    rare = sorted({w for _, _, prefix, _ in index for w in prefix})
+        stride = STRIDE << max(0, math.ceil(math.log2(max(1, len(text.split())) / STRIDE)))
+        index.setdefault(stride, []).append((label, tokens, tokens[:len(tokens) - need + 1], need))
+    rare = sorted({w for part in index.values() for _, _, prefix, _ in part for w in prefix})
 
-    def matches(block: Column) -> Column:
-        """(label, share) of each template the block holds, else null."""
+    def matches(block: Column, part: list) -> Column:
+        """(label, share) of each template of ``part`` the block holds, else null."""
         out = []
-        for label, tokens, prefix, need in index:
+        for label, tokens, prefix, need in part:
             all_, head = F.lit(tokens), F.lit(prefix)
             first = F.get(F.array_intersect(F.slice(block, F.lit(1), F.size(block) - need + 1), head), F.lit(0))
             room = 1 + F.least(len(tokens) - F.array_position(all_, first), F.size(block) - F.array_position(block, first))
@@ -115,9 +116,17 @@ def scan(docs: DataFrame, threshold: float = 0.8, templates: list[tuple[str, str
     joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     read = read.select("doc_id", "words", n.alias("n_words"), joined.alias("joined"),
                        F.arrays_overlap("words", F.lit(rare)).alias("candidate"))
-    starts = F.sequence(F.lit(0), F.greatest(F.col("n_words") - STRIDE - 1, F.lit(0)), F.lit(STRIDE))
-    blocks = F.transform(starts, lambda s: F.array_intersect(F.lit(ordered), F.slice("words", s + 1, 2 * STRIDE)))
-    found = F.flatten(F.transform(blocks, matches))
+
+    def found_in_blocks(stride: int) -> Column:
+        part = index[stride]
+        held = {w for _, tokens, _, _ in part for w in tokens}
+        own_words = [w for w in ordered if w in held]
+        starts = F.sequence(F.lit(0), F.greatest(F.col("n_words") - stride - 1, F.lit(0)), F.lit(stride))
+        blocks = F.transform(starts, lambda s: F.array_intersect(F.lit(own_words), F.slice("words", s + 1, 2 * stride)))
+        return F.flatten(F.transform(blocks, lambda block: matches(block, part)))
+
+    found = [found_in_blocks(stride) for stride in sorted(index)]
+    found = F.concat(*found) if len(found) > 1 else found[0]
     base = {f"at{k}": F.when(F.contains("joined", F.lit(f" {p} ")), places(F.col("words"), p)).otherwise(F.array().cast("array<int>"))
             for k, (p, _) in enumerate(phrases)}
     none = F.array().cast("array<struct<label:string,share:double>>")
