@@ -92,6 +92,12 @@ class _RecordParser(HTMLParser):
         self.current = None
         self.depth = 0
 
+    def parse_html_declaration(self, i):
+        # "<![if x]>" is a comment up to ">" for browsers; the parser knows few keywords and ends at others
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i, 0)
+        return super().parse_html_declaration(i)
+
     def close(self):
         super().close()
         if self.current is not None:
@@ -100,11 +106,8 @@ class _RecordParser(HTMLParser):
 
 def parse_records(html: str, container, fields) -> list[dict]:
     p = _RecordParser(container, fields)
-    try:
-        p.feed(html or "")
-        p.close()
-    except Exception:  # noqa: BLE001 - a broken page yields what was read
-        pass
+    p.feed(html or "")
+    p.close()
     return p.records
 
 

@@ -30,3 +30,21 @@ def test_pairs_and_multivalued(spark):
     counts = {r.value: r.n for r in N.count_per_value(df, "f").collect()}
     assert counts == {2: 1, 3: 1, 1: 1, None: 1}
     assert [r.n_values for r in N.values_per_row(df, "id", "f").orderBy("id").collect()] == [2, 1, 0]
+
+
+def test_broken_markup_ends_no_page():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from tessera.functions.html import parse_records
+    item = "<li><a href='x'>name</a></li>"
+    fields = {"href": ("a", None, "href", None)}
+    for odd in ("<![if foo]>", "<![foo[ y ]]>", "<![endif]-->", "<!", "<!DOCTYPE", "<?x", "</", "<![CDATA[ z ]]>", "&#xFFFFFFFF;", "<a b='"):
+        assert parse_records(item + odd + ">" + item if odd[-1] != "'" else item + odd, ("li", None), fields)[0]["href"] == "x", odd
+    for odd in ("<![if foo]>", "<![foo[ y ]]>", "<![endif]-->", "<!x>", "<?x>", "&#xFFFFFFFF;"):
+        assert len(parse_records(item + odd + item, ("li", None), fields)) == 2, odd  # what follows is read too
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.sampled_from(["<", ">", "!", "[", "]", "-", "--", "/", "?", "&", "#", ";", "li", "a", "script", "CDATA[", "'", '"', "=", " ", "x", item])))
+    def no_error(parts):
+        parse_records("".join(parts), ("li", None), fields)
+    no_error()
