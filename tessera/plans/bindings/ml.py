@@ -483,18 +483,17 @@ SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, CAST(len(kept) AS INTEGER) A
     CAST((SELECT count(*) FROM v) AS INTEGER) AS vocabulary_size FROM k""")
 def m18_m20_tokens_and_counts(spark, d):
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Tokenizer
+    from pyspark.ml.feature import StopWordsRemover, Tokenizer
 
+    from tessera.ml import vocabulary as V
     doc = articles(spark, d)
     pipe = Pipeline(stages=[Tokenizer(inputCol="documents", outputCol="tokens"),
-                            StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=list(ENGLISH)),
-                            CountVectorizer(inputCol="filtered", outputCol="counts", vocabSize=MD.VOCABULARY_LIMIT)])
-    model = pipe.fit(doc)
-    vocab = MD.whole_vocabulary(model)
-    out = model.transform(doc)
+                            StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=list(ENGLISH))])
+    out = pipe.fit(doc).transform(doc)
+    terms = V.vocabulary(V.token_counts(out, "doc_id", F.col("filtered")), doc.count())
     return out.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("filtered").alias("n_kept"),
                       F.size(F.array_distinct("filtered")).alias("n_distinct_terms"),
-                      F.lit(vocab).alias("vocabulary_size"))
+                      F.lit(terms.count()).cast("int").alias("vocabulary_size"))
 
 
 @query("m16_pipeline_save_and_load", f"""WITH {DATA_SQL}, i AS (SELECT {K}, coalesce(q, (SELECT avg(q) FROM data)) AS q,
