@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tessera.ml.base import ColumnsEstimator, ColumnsModel, SelectColumns
 from tessera.operators import stats as S
+from tessera.operators.comoments import moments_by_column
 
 
 def _q(c: str) -> Column:
@@ -150,16 +151,29 @@ def yeo_johnson(x: Column, lam: float) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def _power_slope(size: Column, power: float) -> Column:
-    """Derivative by ``power`` of (exp(power * size) - 1) / power."""
+def _power_and_slope(size: np.ndarray, power: float) -> tuple[np.ndarray, np.ndarray]:
+    """(exp(power * size) - 1) / power and its derivative by ``power``."""
+    value = np.expm1(size * power) / power if power else size
     if abs(power) < 1e-5:
-        return size * size / 2 + size * size * size * (power / 3)
-    return (size * F.exp(size * power) - F.expm1(size * power) / power) / power
-
-
-def yeo_johnson_slope(x: Column, lam: float) -> Column:
-    """Derivative of the Yeo-Johnson transform of a column by lambda."""
-    return F.when(x >= 0, _power_slope(F.log1p(x), lam)).otherwise(_power_slope(F.log1p(-x), 2.0 - lam))
+        return value, size * size / 2 + size * size * size * (power / 3)
+    return value, (size * (1 + power * value) - value) / power
+
+
+def yeo_johnson_points(lams: Sequence[float]):
+    """Function of present values that gives, for each lambda, a column of the
+    Yeo-Johnson transform and one of its derivative by lambda."""
+    def make(x: np.ndarray) -> np.ndarray:
+        size, up = np.log1p(np.abs(x)), x >= 0
+        every = bool(up.all())
+        out = np.empty((len(x), 2 * len(lams)))
+        for k, lam in enumerate(lams):
+            y, dy = _power_and_slope(size, lam)
+            if not every:  # below 0 the power is 2 - lambda, and both signs of the transform turn
+                z, dz = _power_and_slope(size, 2.0 - lam)
+                y, dy = np.where(up, y, -z), np.where(up, dy, dz)
+            out[:, 2 * k], out[:, 2 * k + 1] = y, dy
+        return out
+    return make
 
 
 def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], resolution: float = 1e-5, max_rounds: int = 100) -> dict:
@@ -168,7 +182,7 @@ def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], resolution: float = 1e-5
     which is ``-n cov(y, dy/dlambda) / var(y) + sum sign(x) log1p|x|``.
 
     A round evaluates the derivative at a few lambdas of every column - all in
-    one aggregation of the wide table, with centred variances and covariances -
+    one pass that makes a matrix of moments per column -
     and keeps the two between which it changes sign: first on a fixed grid that
     moves outward fourfold while there is no such change, then around the point
     where the line between both ends meets zero. It ends when a bracket is
@@ -189,17 +203,14 @@ def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], resolution: float = 1e-5
         for _ in range(max_rounds):
             if not points:
                 break
-            aggs = []
-            for i, lams in points.items():
-                for k, lam in enumerate(lams):
-                    # a transform beyond the range of doubles gives no number: the lambda is too far out
-                    y, dy = yeo_johnson(x[i], lam), yeo_johnson_slope(x[i], lam)
-                    aggs += [F.var_pop(y).alias(f"v{i}_{k}"), F.covar_pop(y, dy).alias(f"c{i}_{k}")]
-            row = _one_row(clean, aggs)
+            most = max(map(len, points.values()))
+            # a transform beyond the range of doubles gives no number: the lambda is too far out
+            held = moments_by_column(clean, {i: yeo_johnson_points([*lams, *lams[-1:] * (most - len(lams))]) for i, lams in points.items()}, 2 * most)
             for i, lams in list(points.items()):
                 for k, lam in enumerate(lams):
-                    var, cov = row[f"v{i}_{k}"], row[f"c{i}_{k}"]
-                    usable = var is not None and 0 < var < math.inf and cov is not None and math.isfinite(cov)
+                    n, c = held[i].n, held[i].c
+                    var, cov = float(c[2 * k, 2 * k] / n), float(c[2 * k, 2 * k + 1] / n)
+                    usable = 0 < var < math.inf and math.isfinite(cov)
                     slope = base[f"l{i}"] - cov / var if usable else math.copysign(math.inf, 1 - lam)
                     low, high = ends[i]
                     if slope >= 0 and lam > low[0]:
@@ -242,11 +253,10 @@ def _standardise_after(df, lambdas: dict) -> dict:
     if not lambdas:
         return {}
     cols = list(lambdas)
-    row = _one_row(df, [F.avg(yeo_johnson(_present(df, c).cast("double"), lambdas[c])).alias(f"m{i}")
-                        for i, c in enumerate(cols)] +
-                   [F.stddev_pop(yeo_johnson(_present(df, c).cast("double"), lambdas[c])).alias(f"s{i}")
-                    for i, c in enumerate(cols)])
-    return {c: [lambdas[c], row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0] for i, c in enumerate(cols)}
+    clean = df.select(*[_present(df, c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    held = moments_by_column(clean, {i: yeo_johnson_points([lambdas[c]]) for i, c in enumerate(cols)}, 2)
+    sds = {i: float(np.sqrt(m.c[0, 0] / m.n)) for i, m in held.items()}
+    return {c: [lambdas[c], float(held[i].mean[0]) if i in held else 0.0, sds.get(i) or 1.0] for i, c in enumerate(cols)}
 
 
 class PowerTransformer(ColumnsEstimator):

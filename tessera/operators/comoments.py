@@ -122,11 +122,24 @@ def moments_table(df: DataFrame, columns: Sequence[str], kind: type, cell: str |
     """(cell, part, held): one merged ``kind`` per value of the integer column
     ``cell`` (0 without one), of ``columns`` or of the ``width`` columns that
     ``expand`` makes of them. NULL counts as NaN, a missing value."""
-    ensure_importable(df.sparkSession)
     width = width or len(columns)
     key = F.col(f"`{cell}`").cast("int") if cell else F.lit(0)
     rows = df.select(key.alias("cell"), *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
 
+    def cells_of(batch: pa.RecordBatch) -> Iterator[tuple[int, object]]:
+        cells = batch.column(0).to_numpy(zero_copy_only=False)
+        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]).astype(float)
+        x = expand(x) if expand else x
+        for c in np.unique(cells):
+            yield int(c), kind.of(x[cells == c])
+
+    return _merged_table(rows, cells_of, kind, width)
+
+
+def _merged_table(rows: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], kind: type, width: int) -> DataFrame:
+    """(cell, part, held): the (cell, ``kind``) of all batches of ``rows``, merged per cell."""
+    ensure_importable(rows.sparkSession)
+
     def emit(held: dict) -> Iterator[pa.RecordBatch]:
         for (c, part), m in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([part], pa.int32()), pa.array([m.dump()], pa.binary())],
@@ -136,12 +149,8 @@ def moments_table(df: DataFrame, columns: Sequence[str], kind: type, cell: str |
         held: dict = {}
         part = TaskContext.get().partitionId() % PARTS
         for batch in batches:
-            cells = batch.column(0).to_numpy(zero_copy_only=False)
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]).astype(float)
-            x = expand(x) if expand else x
-            for c in np.unique(cells):
-                m = kind.of(x[cells == c])
-                key = int(c), part
+            for c, m in cells_of(batch):
+                key = c, part
                 held[key] = held[key].merged(m) if key in held else m
         yield from emit(held)
 
@@ -159,6 +168,23 @@ def moments_table(df: DataFrame, columns: Sequence[str], kind: type, cell: str |
     return some.repartition("cell").mapInArrow(merge(True), _SCHEMA)
 
 
+def moments_by_column(df: DataFrame, expand: dict[int, Callable[[np.ndarray], np.ndarray]], width: int) -> dict[int, Moments]:
+    """One :class:`Moments` per column place in ``expand``, of the ``width``
+    columns that it makes of the present values of that column of doubles. What
+    it makes beyond the range of doubles leaves moments that are no numbers."""
+    def cells_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Moments]]:
+        for k, (i, make) in enumerate(expand.items()):
+            x = batch.column(k).to_numpy(zero_copy_only=False).astype(float)
+            x = x[~np.isnan(x)]
+            with np.errstate(all="ignore"):
+                made = make(x)
+                if len(x):
+                    yield i, Moments.of(np.where(np.isnan(made), np.inf, made))
+
+    rows = df.select(*[F.col(f"`{df.columns[i]}`") for i in expand])
+    return {r["cell"]: Moments.load(bytes(r["held"]), width) for r in _merged_table(rows, cells_of, Moments, width).collect()}
+
+
 def moments_by_cell(df: DataFrame, columns: Sequence[str], cell: str | None = None, expand: Callable | None = None,
                     width: int | None = None) -> dict[int, Moments]:
     """One :class:`Moments` per cell: a matrix of columns x columns each, read

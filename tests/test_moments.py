@@ -109,3 +109,21 @@ def test_missing_features_and_constant_labels(spark, regression):
     assert MD.holdout_evaluation(df.limit(0), ["a"], "y", ["id"]).where("r2_train IS NOT NULL").count() == 0
     one = MD.cross_validate(df.withColumn("k", F.lit(1.0)), ["a", "k"], "y", ["id"], 3).collect()
     assert all(r["r2_train"] > 0 for r in one)
+
+
+def test_moments_by_column_of_expanded_values(spark):
+    """One pass for any number of lambdas; each column by its own present values."""
+    from tessera.ml.prep import yeo_johnson, yeo_johnson_points
+    from tessera.operators.comoments import moments_by_column
+    rows = [(-2.5, 1.0), (0.0, None), (None, 700.0), (3.0, 2.0), (float("nan"), 5.0), (40.0, 0.0)]
+    df = spark.createDataFrame(rows, "x double, y double").repartition(3)
+    lams = [-1.0, 0.0, 1.0, 2.0, 2.5]
+    held = moments_by_column(df, {0: yeo_johnson_points(lams), 1: yeo_johnson_points([500.0] * 5)}, 10)
+    for k, lam in enumerate(lams):
+        y = [r[0] for r in df.where("x is not null and not isnan(x)").select(yeo_johnson(df.x, lam)).collect()]
+        up = [r[0] for r in df.where("x is not null and not isnan(x)").select(yeo_johnson(df.x, lam + 1e-6)).collect()]
+        slope = (np.array(up) - np.array(y)) / 1e-6
+        assert held[0].n == 4 and np.isclose(held[0].mean[2 * k], np.mean(y))
+        assert np.isclose(held[0].c[2 * k, 2 * k] / 4, np.var(y))
+        assert np.isclose(held[0].c[2 * k, 2 * k + 1] / 4, np.mean((y - np.mean(y)) * (slope - np.mean(slope))), rtol=1e-4, atol=1e-4)
+    assert held[1].n == 5 and not np.isfinite(held[1].c).any()  # beyond the range of doubles: no number
