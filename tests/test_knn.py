@@ -74,3 +74,36 @@ def test_empty_donors_and_all_missing(spark):
     none = recv.where("rid < 0").drop("rid")
     found, visits, leaves = knn.nearest_donors(recv, none, ["a", "b", "c", "d"], 3)
     assert (found.count(), visits.count(), leaves) == (0, 0, 1)
+
+
+@pytest.mark.parametrize("spaces", [24, 3, 0])
+def test_search_by_missing_columns_equals_brute_force(spark, monkeypatch, spaces):
+    monkeypatch.setattr(knn, "SPACES", max(1, spaces))
+    monkeypatch.setattr(knn, "MAX_PATTERNS", 256 if spaces else 0)
+    rng = np.random.default_rng(5)
+    donors = np.round(rng.normal(size=(300, 4)) * [2, 900, 1, 1])
+    donors[rng.random(300) < 0.2, 0] = np.nan
+    donors[rng.random(300) < 0.2, 1] = np.nan
+    recv = donors[np.isnan(donors[:, :2]).any(axis=1)][:50]
+    recv[0], recv[1] = [np.nan] * 4, recv[2]
+    cols = ["a", "b", "c", "d"]
+    found, members = knn.nearest_by_pattern(_frame(spark, recv), _frame(spark, donors).select(*cols), cols, 5, block_rows=40, chunk_rows=7)
+    got, of = {}, {r.rid: r.of for r in members.collect()}
+    for r in found.collect():
+        got.setdefault((r.rid, r.column), []).append((r.dist, r.value))
+    want = _brute(recv, donors, 5)
+    assert len(of) == 50 and of[1] == of[2] == 1
+    assert {(i, c) for i in of for c in cols if (of[i], c) in got} == want.keys()
+    for i, c in want:
+        assert np.allclose(sorted(got[of[i], c]), want[i, c], atol=1e-9)
+
+
+def test_rows_that_miss_the_widest_column_meet_few_donors(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    donors = np.column_stack([rng.integers(0, 4, 3000), rng.normal(size=3000) * 1000, rng.integers(0, 3, 3000), rng.integers(0, 3, 3000)]).astype(float)
+    recv = donors[:200].copy()
+    recv[:, 1] = np.nan
+    met, search = [], knn.nearest_donors
+    monkeypatch.setattr(knn, "nearest_donors", lambda r, d, *a, **kw: (met.append((r.count(), d.count())), search(r, d, *a, **kw))[1])
+    knn.nearest_by_pattern(_frame(spark, recv), _frame(spark, donors).select("a", "b", "c", "d"), ["a", "b", "c", "d"], 5)
+    assert met == [(len(np.unique(recv[:, [0, 2, 3]], axis=0)), 5 * 36)]
