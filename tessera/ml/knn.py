@@ -31,6 +31,8 @@ from tessera.session import write_table
 SAMPLE_ROWS, MAX_LEAVES = 20_000, 4096
 #: Searches by missing columns, and sets of columns that donors may have for them.
 SPACES, MAX_PATTERNS = 24, 256
+#: Pairs of receivers and donors that one search for all of them is quicker for than several.
+FEW_PAIRS = 2_000_000_000
 #: Receivers whose distances to a block are held at a time.
 SLICE = 200
 
@@ -203,13 +205,15 @@ def nearest_by_pattern(recv: DataFrame, donors: DataFrame, cols: list[str], k: i
     Receivers that miss the same columns, and donors with which they have the same
     columns in common, are searched by themselves: their tree cuts the columns they
     have in common, and of donors at one place only the ``k`` smallest values can be
-    among the best. Receivers beyond ``SPACES`` such searches meet all donors together."""
+    among the best. Receivers beyond ``SPACES`` such searches meet all donors together,
+    as do all of them where there are few."""
     bits = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "0").otherwise("1") for c in cols])
     held = [frozenset(c for c, b in zip(cols, r["bits"]) if b == "1") for r in
             donors.select(bits.alias("bits")).distinct().limit(MAX_PATTERNS + 1).collect()]
     asked = recv.groupBy(bits.alias("bits")).count().orderBy(F.desc("count"), "bits").limit(SPACES).collect()
     spaces, alone = [], []
-    for r in asked if len(held) <= MAX_PATTERNS else ():
+    several = len(held) <= MAX_PATTERNS and recv.count() * donors.count() > FEW_PAIRS
+    for r in asked if several else ():
         mine = {c for c, b in zip(cols, r["bits"]) if b == "1"}
         more = sorted({(tuple(c for c in cols if c in mine & d), t) for d in held if mine & d for t in d - mine})
         if len(spaces) + len(more) <= SPACES:

@@ -78,6 +78,7 @@ def test_empty_donors_and_all_missing(spark):
 
 @pytest.mark.parametrize("spaces", [24, 3, 0])
 def test_search_by_missing_columns_equals_brute_force(spark, monkeypatch, spaces):
+    monkeypatch.setattr(knn, "FEW_PAIRS", 0)
     monkeypatch.setattr(knn, "SPACES", max(1, spaces))
     monkeypatch.setattr(knn, "MAX_PATTERNS", 256 if spaces else 0)
     rng = np.random.default_rng(5)
@@ -103,6 +104,7 @@ def test_rows_that_miss_the_widest_column_meet_few_donors(spark, monkeypatch):
     donors = np.column_stack([rng.integers(0, 4, 3000), rng.normal(size=3000) * 1000, rng.integers(0, 3, 3000), rng.integers(0, 3, 3000)]).astype(float)
     recv = donors[:200].copy()
     recv[:, 1] = np.nan
+    monkeypatch.setattr(knn, "FEW_PAIRS", 0)
     met, search = [], knn.nearest_donors
     monkeypatch.setattr(knn, "nearest_donors", lambda r, d, *a, **kw: (met.append((r.count(), d.count())), search(r, d, *a, **kw))[1])
     knn.nearest_by_pattern(_frame(spark, recv), _frame(spark, donors).select("a", "b", "c", "d"), ["a", "b", "c", "d"], 5)
