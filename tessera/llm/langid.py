@@ -150,7 +150,7 @@ class Model:
         length = np.minimum(np.repeat(size, pieces) - index * PIECE, PIECE)
         order = np.argsort(-length, kind="stable")
         begin, length, owner = begin[order], length[order], owner[order]
-        flat = np.concatenate(texts).astype(np.int64) if texts else np.zeros(0, np.int64)
+        flat = np.concatenate(texts) if texts else np.zeros(0, np.int32)
         lanes = np.searchsorted(-length, -np.arange(1, (int(length[0]) if len(length) else 0) + 1), side="right")
         out = np.zeros((len(texts), len(self.langs)))
         columns = [flat[begin[:k] + t] for t, k in enumerate(lanes)]

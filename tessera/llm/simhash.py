@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import required, struct
 from tessera.llm.graph import connected_components
-from tessera.session import write_table
+from tessera.session import TEXT_BATCH, write_table
 
 BITS = 64
 
@@ -228,7 +228,7 @@ def groups(docs: DataFrame, shingle: int = 4, distance: int = 4, seed: int = 42)
     """(doc_id, fp, component, component_id) per document row: the fingerprint,
     a fingerprint that names its group, and the smallest doc_id of the group
     (null where no row of it has an id)."""
-    prints = write_table(fingerprints(docs, shingle, seed), "fingerprints")
+    prints = write_table(fingerprints(docs, shingle, seed), "fingerprints", TEXT_BATCH)
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     first = write_table(first, "distinct")
     component = write_table(links(first.select("fp"), distance).join(first, "fp"), "components")
