@@ -169,6 +169,10 @@ def links(distinct: DataFrame, distance: int = 4, heavy_share: int = 1024, round
     different labels only. Partition values held by more than 1 of
     ``heavy_share`` fingerprints (so fewer than that per partition) are sent
     to the tasks for the cost estimates.
+
+    All joins are merge joins: keys and probes are several rows for each row of
+    a table, which Spark's size of it does not show, and the driver would
+    broadcast them.
     """
     n = distinct.count()
     groups = bit_groups(distinct, parts_for(n, distance))
@@ -178,8 +182,8 @@ def links(distinct: DataFrame, distance: int = 4, heavy_share: int = 1024, round
         centre = at.groupBy("key").agg(F.min(F.struct("label", "fp")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
         near = F.bit_count(F.col("fp").bitwiseXOR(F.col("c.fp"))) <= distance
         labels = write_table(
-            at.join(centre, "key").where(near).groupBy("fp").agg(F.min("c.label").alias("lower"))
-            .join(labels, "fp", "right")
+            at.hint("merge").join(centre, "key").where(near).groupBy("fp").agg(F.min("c.label").alias("lower"))
+            .join(labels.hint("merge"), "fp", "right")
             .select("fp", F.least("label", F.coalesce("lower", "label")).alias("label"), "keys"), "labels")
     index = labels.select("fp", "label", F.explode("keys").alias("key"))
     heavy: dict[int, list] = {}
@@ -217,10 +221,10 @@ def links(distinct: DataFrame, distance: int = 4, heavy_share: int = 1024, round
 
     probes = labels.select("fp", "label").mapInArrow(probe, schema).select("key", F.col("fp").alias("a"), F.col("label").alias("la"))
     found = index.select("key", F.col("fp").alias("b"), F.col("label").alias("lb"))
-    pairs = probes.join(found, (probes["key"] == found["key"]) & (F.col("la") < F.col("lb"))
+    pairs = probes.hint("merge").join(found, (probes["key"] == found["key"]) & (F.col("la") < F.col("lb"))
                         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
     parts = connected_components(pairs.select("la", "lb"), "la", "lb")
-    return (labels.join(parts, labels["label"] == parts["node"], "left")
+    return (labels.hint("merge").join(parts, labels["label"] == parts["node"], "left")
             .select("fp", F.coalesce("component", "label").alias("component")))
 
 
@@ -231,10 +235,10 @@ def groups(docs: DataFrame, shingle: int = 4, distance: int = 4, seed: int = 42)
     prints = write_table(fingerprints(docs, shingle, seed), "fingerprints", TEXT_BATCH)
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     first = write_table(first, "distinct")
-    component = write_table(links(first.select("fp"), distance).join(first, "fp"), "components")
+    component = write_table(links(first.select("fp"), distance).hint("merge").join(first, "fp"), "components")
     smallest = component.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = component.join(smallest, "component").select("fp", "component", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component", "component_id")
+    named = component.hint("merge").join(smallest, "component").select("fp", "component", "component_id")
+    return prints.hint("merge").join(named, "fp").select("doc_id", "fp", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, seed: int = 42) -> DataFrame:
