@@ -3,7 +3,7 @@ exploded keys, probes and small files stand for are more than Spark's size of th
 
 from pyspark.sql import functions as F
 
-from tessera.llm import graph, simhash
+from tessera.llm import graph, simhash, stages
 
 
 def plans_of(monkeypatch, *modules):
@@ -33,3 +33,13 @@ def test_components_broadcast_no_table(spark, monkeypatch):
     found = graph.connected_components(spark.range(1, 40).select("id", (F.col("id") - F.col("id") % 10).alias("to")), "id", "to")
     assert {r["node"]: r["component"] for r in found.collect()} == {i: i // 10 * 10 for i in range(40)}
     assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_the_stage_broadcasts_no_ids(spark, monkeypatch):
+    docs = spark.range(30).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('w', id div 2, ' '), 9)").alias("text"))
+    plans = plans_of(monkeypatch, simhash, graph)
+    out = stages.without_near_duplicates(spark, docs, "")
+    kept = {r["doc_id"] for r in out.collect()}
+    assert kept <= set(range(0, 30, 2)) and 0 in kept
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert "SortMergeJoin" in plans[-1] and not any("BroadcastHashJoin" in p for p in plans)
